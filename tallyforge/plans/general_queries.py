@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions.text import is_missing
+from tallyforge.operators.fill import fill_category, fill_numeric
+from tallyforge.operators.moments import normalise_moments
 from tallyforge.operators.multivalue import split_packed
+from tallyforge.operators.units import MAX_EDGES, ccy_field, convert_units, described_currency, noted_scale
 from tallyforge.session import table
 
 
@@ -23,3 +27,98 @@ def packed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per value of every identifier or footnotes field holding two or more."""
     return split_packed(packed_fields(spark, sf_dir), min_values=2)
+
+
+def _missing_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    soi = fill_category(table(spark, sf_dir, "soi_position"), "pos_id", ["bdc", "entity"], "period_end", "sector")
+    html = fill_category(table(spark, sf_dir, "html_row"), "row_id", ["bdc", "issuer"], "period_end", "business_description")
+    return soi.select(F.lit("soi_position").alias("src"), "*").unionByName(html.select(F.lit("html_row").alias("src"), "*"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing sectors and descriptions that another row of the same fund and borrower states."""
+    return _missing_filled(spark, sf_dir).select("src", "row_id", "val")
+
+
+def p2_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every filled value, marked with its method and distance in days."""
+    return _missing_filled(spark, sf_dir)
+
+
+def p2_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing all-in rates interpolated in time per fund, borrower and instrument wording."""
+    soi = table(spark, sf_dir, "soi_position")
+    return fill_numeric(soi, "pos_id", ["bdc", "entity", "type"], "period_end", "rate")
+
+
+def stated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, row_id, field, text, day_first, home_zone) of the four date columns."""
+    fund = table(spark, sf_dir, "fund").select(F.col("ticker").alias("bdc"), (F.col("locale") != "en_US").alias("day_first"), "home_zone")
+    out = None
+    for src, key, cols in (("soi_position", "pos_id", ("maturity", "acq")), ("html_row", "row_id", ("maturity_date", "acquisition_date"))):
+        t = table(spark, sf_dir, src).select("bdc", F.col(key).alias("row_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in cols])).alias("x"))
+        t = t.select(F.lit(src).alias("src"), "bdc", "row_id", "x.field", "x.text")
+        out = t if out is None else out.unionByName(t)
+    # fund is a fixed table of 20 rows
+    return out.join(F.broadcast(fund), "bdc", "left").withColumn("day_first", F.coalesce("day_first", F.lit(False)))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, months and moments not yet in normal form, in normal form."""
+    n = normalise_moments(stated_times(spark, sf_dir))
+    return n.where(F.col("val").isNotNull() & (F.col("val") != F.col("text"))).select("src", "row_id", "field", "val")
+
+
+def p3_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values of each field are dates, months, moments, ambiguous or nonexistent."""
+    n = normalise_moments(stated_times(spark, sf_dir))
+    return n.groupBy("src", "field", "status").agg(F.count("*").alias("n"))
+
+
+def unit_edges(spark: SparkSession, sf_dir: str) -> list[tuple]:
+    """The conversion graph: scales of each currency, and each currency's dollar rate by date."""
+    scales = (0.01, 1.0, 1e3, 1e6, 1e9)
+    # fx_rate is a fixed table (64 rows); convert_units checks the bound
+    rates = table(spark, sf_dir, "fx_rate").limit(MAX_EDGES).collect()
+    edges = [(f"{c}*{s:g}", f"{c}*1", s, 0.0, None) for c in {r.ccy for r in rates} for s in scales if s != 1]
+    return edges + [(f"{r.ccy}*1", "USD*1", r.usd_per_unit, 0.0, str(r.rate_date)) for r in rates if r.ccy != "USD"]
+
+
+def stated_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, row_id, field, amount, unit, at) of fv, par and fair_value; unit is ``CCY*scale``."""
+    soi = table(spark, sf_dir, "soi_position").select("pos_id", "accession", "period_end", "ccy", "descr", "fv", "par")
+    # filing is a fixed table of 320 rows
+    note = table(spark, sf_dir, "filing").select("accession", noted_scale("amounts_note")["scale"].alias("note")).dropDuplicates(["accession"])
+    s = soi.where(F.col("fv").isNotNull() | F.col("par").isNotNull()).join(F.broadcast(note), "accession", "left")
+    # a description counts only where the currency is missing
+    s = s.withColumn("own", F.when(~is_missing(F.col("ccy")), F.col("ccy"))).withColumn("told", F.when(F.col("own").isNull(), F.col("descr")))
+    s = s.withColumn("a", ccy_field("own")).withColumn("b", described_currency("told"))
+    s = s.select(
+        F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), F.col("period_end").alias("at"),
+        F.coalesce("a.cur", "b.cur", F.lit("USD")).alias("cur"),
+        F.coalesce("a.scale", "b.scale", "note", F.lit(1.0)).alias("scale"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("amount")) for c in ("fv", "par")])).alias("x"),
+    )
+    h = table(spark, sf_dir, "html_row").select("row_id", "period_end", "caption", "investment_type", "fair_value").where(F.col("fair_value").isNotNull())
+    h = h.withColumn("a", described_currency("investment_type")).withColumn("n", noted_scale("caption"))
+    scale = F.when(F.col("a.cur").isNotNull(), F.coalesce("a.scale", F.lit(1.0))).otherwise(F.coalesce("n.scale", F.lit(1.0)))
+    h = h.select(
+        F.lit("html_row").alias("src"), "row_id", F.col("period_end").alias("at"), F.coalesce("a.cur", F.lit("USD")).alias("cur"), scale.alias("scale"),
+        F.struct(F.lit("fair_value").alias("field"), F.col("fair_value").alias("amount")).alias("x"),
+    )
+    both = s.unionByName(h)
+    short = F.when(F.col("scale") == 0.01, "0.01").when(F.col("scale") == 1, "1").when(F.col("scale") == 1e3, "1000").when(F.col("scale") == 1e6, "1e+06").otherwise("1e+09")
+    return both.select("src", "row_id", "x.field", "x.amount", F.concat_ws("*", "cur", short).alias("unit"), "at")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts not yet in single US dollars, in whole US dollars."""
+    a = stated_amounts(spark, sf_dir).where((F.col("unit") != "USD*1") & F.col("amount").isNotNull() & ~F.isnan("amount"))
+    c = convert_units(a, unit_edges(spark, sf_dir), "USD*1").where(F.col("status") == "converted")
+    return c.select("src", "row_id", "field", F.round("val").cast("bigint").alias("usd"))
+
+
+QUERIES = {
+    "p1_found": p1_found, "p2_found": p2_found, "p2_marked": p2_marked, "p2_interpolated": p2_interpolated,
+    "p3_found": p3_found, "p3_status": p3_status, "p5_found": p5_found,
+}
