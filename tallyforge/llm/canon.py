@@ -161,7 +161,7 @@ def closest_entries(wordings: DataFrame, forms: list[tuple[str, str, int, int]],
 
         def search(batches: Iterator[pd.DataFrame], kept=kept) -> Iterator[pd.DataFrame]:
             entry = {(k, f): (i, r) for k, f, i, r in kept.value}
-            trees = {(k, r): BKTree([f for kk, f, _, rr in kept.value if (kk, rr) == (k, r)]) for k, _, _, r in kept.value}
+            trees = {(k, r): BKTree([f for kk, f, _, rr in kept.value if (kk, rr) == (k, r)]) for k, r in {(k, r) for k, _, _, r in kept.value}}
             memo: dict[tuple[str, str], tuple[int, int, int]] = {}
             for pdf in batches:
                 rows = []

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import is_missing
 from tallyforge.llm.canon import SYNONYMS, closest_entries, reference_forms
+from tallyforge.llm.names import entity_classes, variant_pairs
 from tallyforge.session import table
 
 #: Entries of a reference list that the driver reads to build the trees.
@@ -55,4 +56,26 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(m, ["kind", "text"]).select("kind", "text", "n")
 
 
-QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched}
+def borrower_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, own, line, numeral, how, rarity) of every borrower name in the two books."""
+    soi = table(spark, sf_dir, "soi_position").select("entity", "company").groupBy("entity", "company").agg(F.count("*").alias("n"))
+    html = table(spark, sf_dir, "html_row").groupBy("issuer").agg(F.count("*").alias("n"))
+    names = soi.select(F.col("entity").alias("name"), "n").unionByName(soi.select(F.col("company").alias("name"), "n")).unionByName(html.select(F.col("issuer").alias("name"), "n"))
+    names = names.where(F.col("name").isNotNull()).groupBy("name").agg(F.sum("n").alias("n"))
+    both = soi.where(F.col("entity").isNotNull() & F.col("company").isNotNull() & (F.col("entity") != F.col("company")))
+    uses = both.select(F.col("entity").alias("name"), F.col("company").alias("other")).unionByName(both.select(F.col("company").alias("name"), F.col("entity").alias("other")))
+    return entity_classes(names, uses)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different spellings that name one borrower."""
+    return variant_pairs(borrower_classes(spark, sf_dir))
+
+
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with its borrower, how it was linked, and the rarity of the rewriting."""
+    c = borrower_classes(spark, sf_dir)
+    return c.select("name", F.concat_ws("|", "own", "line", F.col("numeral").cast("string")).alias("borrower"), "how", "rarity")
+
+
+QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_found": p6_found, "p6_classes": p6_classes}
