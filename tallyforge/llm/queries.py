@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import is_missing
 from tallyforge.llm.canon import SYNONYMS, closest_entries, reference_forms
+from tallyforge.llm.linkage import Rules, link_records
 from tallyforge.llm.names import entity_classes, variant_pairs
-from tallyforge.session import table
+from tallyforge.operators.moments import normalise_moments
+from tallyforge.operators.units import convert_units
+from tallyforge.plans.general_queries import stated_amounts, stated_times, unit_edges
+from tallyforge.session import broadcast_within, checkpointed, table
 
 #: Entries of a reference list that the driver reads to build the trees.
 MAX_ENTRIES = 100_000
@@ -78,4 +82,88 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("name", F.concat_ws("|", "own", "line", F.col("numeral").cast("string")).alias("borrower"), "how", "rarity")
 
 
-QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_found": p6_found, "p6_classes": p6_classes}
+HOLDING_RULES = Rules(
+    exact={"label": (1.0, 5.0), "spread": (1.5, 5.0), "rate": (1.0, 5.0), "base": (0.5, 5.0), "pik": (0.5, 2.0), "shares": (3.0, 5.0)},
+    prefix={"acq": (2.5, 5.0), "maturity": (2.0, 5.0)},
+)
+#: Spelling classes are broadcast up to so many names, joined by a shuffle beyond.
+MAX_BROADCAST_NAMES = 300_000
+
+
+def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The positions and the HTML rows as records for linkage."""
+    names = borrower_classes(spark, sf_dir).select("name", F.concat_ws("|", "own", "line", F.col("numeral").cast("string")).alias("who")).distinct()
+    names = broadcast_within(checkpointed(names), MAX_BROADCAST_NAMES)
+    forms = label_forms(spark, sf_dir)
+    w = _wordings(spark, sf_dir).where("kind = 'type'")
+    label = table(spark, sf_dir, "canon_label").where("kind = 'type'").select(F.col("label").alias("text"), F.col("label_id").alias("exact"))
+    meant = closest_entries(w, forms).join(F.broadcast(label), "text", "left").select("text", F.coalesce("exact", "entry").alias("label"))
+    meant = broadcast_within(checkpointed(meant.where("label > 0")), MAX_BROADCAST_NAMES)
+    amounts = stated_amounts(spark, sf_dir).where("field in ('fv', 'fair_value')")
+    usd = convert_units(amounts, unit_edges(spark, sf_dir), "USD*1").where("status = 'converted'").select("src", "row_id", F.col("val").alias("amount"), "unit")
+    when = normalise_moments(stated_times(spark, sf_dir)).where(F.col("val").isNotNull())
+    when = when.groupBy("src", "row_id").agg(
+        F.max(F.when(F.col("field").isin("acq", "acquisition_date"), F.col("val"))).alias("acq"),
+        F.max(F.when(F.col("field").isin("maturity", "maturity_date"), F.col("val"))).alias("maturity"),
+    )
+    soi = table(spark, sf_dir, "soi_position").select(
+        F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), "bdc", "period_end", F.coalesce("entity", "company").alias("name"), F.col("type").alias("text"),
+        "spread", "rate", F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), "shares", F.lit(None).cast("double").alias("stated"),
+    )
+    html = table(spark, sf_dir, "html_row").select(
+        F.lit("html_row").alias("src"), "row_id", "bdc", "period_end", F.col("issuer").alias("name"), F.col("investment_type").alias("text"),
+        "spread", F.col("interest_rate").alias("rate"), F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), F.col("shares_units").alias("shares"), F.col("fair_value").alias("stated"),
+    )
+    r = soi.unionByName(html).join(names, "name").join(meant, "text", "left").join(usd, ["src", "row_id"], "left").join(when, ["src", "row_id"], "left")
+    # a stated amount is exact to half of its last digit, in its unit
+    step = F.when(F.col("stated") == F.round("stated"), 0.5).when(F.col("stated") * 10 == F.round(F.col("stated") * 10), 0.05).when(F.abs(F.col("stated") * 100 - F.round(F.col("stated") * 100)) < 1e-6, 0.005).otherwise(0.0005)
+    scale = F.element_at(F.split("unit", r"\*"), 2).cast("double")
+    dollars = F.abs(F.col("amount") / F.when(F.col("stated") != 0, F.col("stated")))
+    tol = 0.009 * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, scale)).otherwise(F.lit(1.0))
+    r = r.withColumn("tol", tol)
+    cell = ["bdc", F.col("period_end").cast("string"), "who"]
+
+    def key(tag: str, *cols: Column | str) -> Column:
+        ok = F.lit(True)
+        for c in cols:
+            ok &= (F.col(c) if isinstance(c, str) else c).isNotNull()
+        return F.when(ok, F.xxhash64(F.lit(tag), *cell, *cols))
+
+    size = F.when(F.abs("amount") > 0, F.floor(F.log(F.abs("amount")) / F.log(F.lit(1.04))))
+    near = [size, size - 1, size + 1]
+    about = F.when(F.col("src") == "soi_position", F.array(key("fv", F.signum("amount"), size))).otherwise(F.array(*[key("fv", F.signum("amount"), x) for x in near]))
+    keys = F.concat(
+        about,
+        F.array(
+            key("acq", F.substring("acq", 1, 7), "label"),
+            key("mat", F.substring("maturity", 1, 7), "label"),
+            key("acq+mat", F.substring("acq", 1, 7), F.substring("maturity", 1, 7)),
+            key("shares", "shares"),
+            key("rates", "spread", "rate", "label"),
+        ),
+    )
+    r = r.withColumn("keys", F.array_distinct(F.filter(keys, lambda k: k.isNotNull())))
+    # repeated records of one side state the same amount to three digits
+    lead = F.pow(F.lit(10.0), F.floor(F.log10(F.abs("amount"))) - 2)
+    r = r.withColumn("sig", F.when(F.abs("amount") > 0, F.concat_ws("|", F.col("label").cast("string"), "acq", F.round(F.col("amount") / lead).cast("string"), F.log10(lead).cast("string"))).otherwise(F.concat_ws("|", F.lit("row"), F.col("row_id").cast("string"))))
+    r = r.withColumnRenamed("row_id", "id")
+    return r.where("src = 'soi_position'"), r.where("src = 'html_row'")
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = holdings(spark, sf_dir)
+    m = link_records(left, right, HOLDING_RULES)
+    return m.groupBy(F.col("a").alias("pos_id"), F.col("b").alias("row_id")).agg(F.max("confidence").alias("confidence"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a position and an HTML row that describe one holding."""
+    return _linked(spark, sf_dir).select("pos_id", "row_id")
+
+
+def p7_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched pairs with their confidence."""
+    return _linked(spark, sf_dir)
+
+
+QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_found": p6_found, "p6_classes": p6_classes, "p7_found": p7_found, "p7_confidence": p7_confidence}
