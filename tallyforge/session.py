@@ -52,3 +52,15 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     return b.getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer splits than the cluster has cores.
+
+    A table in a few unsplittable row groups would keep most cores idle through heavy work;
+    large tables have more splits than cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
