@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import is_missing
 from tallyforge.llm.canon import SYNONYMS, closest_entries, reference_forms
+from tallyforge.llm.leaks import leaked_items
 from tallyforge.llm.linkage import Rules, link_records
 from tallyforge.llm.names import entity_classes, variant_pairs
+from tallyforge.llm.spans import shared_words
 from tallyforge.operators.moments import normalise_moments
 from tallyforge.operators.units import convert_units
 from tallyforge.plans.general_queries import stated_amounts, stated_times, unit_edges
-from tallyforge.session import broadcast_within, checkpointed, table
+from tallyforge.session import broadcast_within, checkpointed, spread, table
 
 #: Entries of a reference list that the driver reads to build the trees.
 MAX_ENTRIES = 100_000
@@ -166,4 +168,35 @@ def p7_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _linked(spark, sf_dir)
 
 
-QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_found": p6_found, "p6_classes": p6_classes, "p7_found": p7_found, "p7_confidence": p7_confidence}
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the items of which they hold 13 or more consecutive words."""
+    return _leaks(spark, sf_dir).where("run >= 13").select("doc_id", "item_id")
+
+
+def p8_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments of documents with items, edited copies included, of half the item's best score or more."""
+    x = _leaks(spark, sf_dir).where("score >= words")
+    return x.select("doc_id", "item_id", "score", "matched", "run", (F.col("matched") / F.col("words")).alias("share"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with spans of 60 or more words found in another document, and the words in them."""
+    return shared_words(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "shared_words")
+
+
+def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shared words, number of maximal shared spans, and share of its words."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = docs.select("doc_id", F.size(F.filter(F.split("text", r"(?U)\s+"), lambda x: x != "")).alias("n_words"))
+    s = shared_words(docs)
+    return s.join(n, "doc_id").select("doc_id", "shared_words", "spans", (F.col("shared_words") / F.col("n_words")).alias("share"))
+
+
+QUERIES = {
+    "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_found": p6_found, "p6_classes": p6_classes, "p7_found": p7_found, "p7_confidence": p7_confidence,
+    "p8_found": p8_found, "p8_scored": p8_scored, "p10_found": p10_found, "p10_spans": p10_spans,
+}
