@@ -122,3 +122,5 @@ QUERIES = {
     "p1_found": p1_found, "p2_found": p2_found, "p2_marked": p2_marked, "p2_interpolated": p2_interpolated,
     "p3_found": p3_found, "p3_status": p3_status, "p5_found": p5_found,
 }
+
+SQL: dict[str, str] = {}
