@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tallyforge.functions.text import is_missing
 from tallyforge.llm.canon import SYNONYMS, closest_entries, reference_forms
 from tallyforge.llm.leaks import leaked_items
 from tallyforge.llm.linkage import Rules, link_records
+from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.names import entity_classes, variant_pairs
 from tallyforge.llm.spans import shared_words
 from tallyforge.operators.moments import normalise_moments
@@ -196,7 +199,30 @@ def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(n, "doc_id").select("doc_id", "shared_words", "spans", (F.col("shared_words") / F.col("n_words")).alias("share"))
 
 
+#: The tokenizer whose tokens measure the mix; a path, so that others can be used.
+TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return mix_sources(docs, table(spark, sf_dir, "mix_target"), TOKENIZER)
+
+
+def p9_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix with their repeats, tokens and the share their source really gets."""
+    chosen, report = _mix(spark, sf_dir)
+    return chosen.join(F.broadcast(report.select("source", "target_share", "actual_share")), "source")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of every source, with documents, tokens and the most repeats."""
+    return _mix(spark, sf_dir)[1]
+
+
 QUERIES = {
     "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_found": p6_found, "p6_classes": p6_classes, "p7_found": p7_found, "p7_confidence": p7_confidence,
-    "p8_found": p8_found, "p8_scored": p8_scored, "p10_found": p10_found, "p10_spans": p10_spans,
+    "p8_found": p8_found, "p8_scored": p8_scored,
+    "p9_chosen": p9_chosen, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans,
 }
+
+SQL: dict[str, str] = {}
