@@ -225,4 +225,17 @@ QUERIES = {
     "p9_chosen": p9_chosen, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+
+#: Problems 4, 6, 7 and 9 cannot be told in SQL; they are tested against brute force and fixtures.
+SQL: dict[str, str] = {
+    "p8_found": f"""WITH i AS (SELECT item_id, {_WORDS} AS w FROM eval_item), d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i)),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+    "p10_found": """WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\\s\\x{00a0}\\x{2000}-\\x{200a}\\x{3000}]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, k, hash(array_to_string(w[k:k + 59], chr(0))) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 58)) AS k FROM d)),
+two AS (SELECT h FROM g GROUP BY h HAVING min(doc_id) <> max(doc_id)),
+s AS (SELECT doc_id, k, k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS step FROM g WHERE h IN (SELECT h FROM two))
+SELECT doc_id, CAST(sum(CASE WHEN step < 60 THEN step ELSE 60 END) AS BIGINT) AS shared_words FROM s GROUP BY doc_id""",
+}
