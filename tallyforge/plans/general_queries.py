@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.functions.text import is_missing
+from tallyforge.functions.text import MISSING_WORDS, is_missing
 from tallyforge.operators.fill import fill_category, fill_numeric
 from tallyforge.operators.moments import normalise_moments
 from tallyforge.operators.multivalue import split_packed
@@ -123,4 +123,22 @@ QUERIES = {
     "p3_found": p3_found, "p3_status": p3_status, "p5_found": p5_found,
 }
 
-SQL: dict[str, str] = {}
+_MISSING = "(x IS NULL OR regexp_matches(lower(trim(regexp_replace(x, '[\\s\\x{00a0}]+', ' ', 'g'))), '^[-–—―‒?._*/]*$') OR list_contains([" + ", ".join(f"'{w}'" for w in MISSING_WORDS) + "], lower(trim(regexp_replace(x, '[\\s\\x{00a0}]+', ' ', 'g')))))"
+
+_FILLED = f"""WITH r AS (
+  SELECT 'soi_position' AS src, pos_id AS row_id, bdc, entity AS who, period_end AS t, sector AS x FROM soi_position
+  UNION ALL SELECT 'html_row', row_id, bdc, issuer, period_end, business_description FROM html_row
+), k AS (SELECT *, {_MISSING} AS gone FROM r WHERE bdc IS NOT NULL AND who IS NOT NULL AND t IS NOT NULL),
+o AS (SELECT src, bdc, who, t, min(x) AS x FROM k WHERE NOT gone GROUP BY ALL),
+c AS (
+  SELECT k.src, k.row_id, o.x AS val, CASE WHEN o.t = k.t THEN 'same' WHEN o.t < k.t THEN 'carried' ELSE 'back' END AS method, abs(date_diff('day', k.t, o.t)) AS gap
+  FROM k JOIN o USING (src, bdc, who) WHERE gone
+  QUALIFY row_number() OVER (PARTITION BY k.src, k.row_id ORDER BY CASE WHEN o.t = k.t THEN 0 WHEN o.t < k.t THEN 1 ELSE 2 END, abs(date_diff('day', k.t, o.t))) = 1
+)
+"""
+
+#: The other problems' grammars outgrow SQL; their queries are tested against brute force and fixtures.
+SQL: dict[str, str] = {
+    "p2_found": _FILLED + "SELECT src, row_id, val FROM c",
+    "p2_marked": _FILLED + "SELECT src, row_id, val, method, CAST(gap AS INT) AS gap_days FROM c",
+}
