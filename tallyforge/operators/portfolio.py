@@ -230,7 +230,9 @@ def band_join(left: DataFrame, right: DataFrame, least: int = 5, share: float =
     into both kinds.
     """
     tol = F.greatest(F.lit(least), F.floor(F.abs("fv") * share))
-    probes = F.array_distinct(F.array(*[_bin(F.col("fv") + d) for d in (-5, 0, 5)], *[_bin((F.col("fv") * k).cast("bigint")) for k in (0.98, 1.02)], _bin(F.col("fv") - tol), _bin(F.col("fv") + tol)))
+    # around 500 the reach spans both kinds of bins, and their edge
+    edge = F.when(F.abs("fv").between(490, 511), F.array(*[_bin(F.signum("fv") * v) for v in (499, 500)])).otherwise(F.array().cast("array<string>"))
+    probes = F.array_distinct(F.concat(F.array(*[_bin(F.col("fv") + d) for d in (-5, 0, 5)], _bin(F.col("fv") - tol), _bin(F.col("fv") + tol)), edge))
     lx = left.withColumn("bin", F.explode(probes))
     rx = right.withColumn("bin", _bin(F.col("value")))
     return lx.join(rx, "bin").where(F.abs(F.col("value") - F.col("fv")) <= tol).select("id", "row", "fv", "value").dropDuplicates(["id", "row"])
