@@ -2,7 +2,7 @@
 
 Words are maximal runs of letters and digits of the lower-cased text. The n-grams of all
 items are counted over the whole corpus; in every window of ``run`` consecutive item words
-the rarest n-gram becomes a seed, so that any run of that length holds a seed and none is
+the rarest n-gram that the corpus has becomes a seed, so that any run of that length holds a seed and none is
 missed, while frequent n-grams seldom are one. Documents and items that share a seed are
 aligned by Smith-Waterman over their words, which scores edited and paraphrased copies and
 also gives the longest run of equal words.
@@ -111,11 +111,11 @@ def leaked_items(docs: DataFrame, items: DataFrame, run: int = 13, n: int = 5) -
     shared = doc_grams.join(wanted, "gram", "left_semi")
     counts = shared.groupBy("gram").agg(F.count("*").alias("n"))
     counts = broadcast_within(checkpointed(counts), MAX_BROADCAST_SEEDS)
-    # the rarest n-gram of every window; windows of short items are whole items
-    g = item_grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # the rarest n-gram that occurs, of every window; windows of short items are whole items
+    g = item_grams.join(counts, "gram")
     windows = g.withColumn("start", F.explode(F.sequence(F.greatest(F.lit(0), F.col("pos") - (run - n)), F.least(F.col("pos"), F.greatest(F.lit(0), F.col("len") - run)))))
     rare = windows.groupBy("item_id", "start").agg(F.min(F.struct("n", "pos", "gram")).alias("s"))
-    seeds = rare.where("s.n > 0").select("item_id", "s.gram").distinct()
+    seeds = rare.select("item_id", "s.gram").distinct()
     seeds = broadcast_within(checkpointed(seeds), MAX_BROADCAST_SEEDS)
     pairs = doc_grams.join(seeds, "gram").select("doc_id", "item_id").distinct()
     both = pairs.join(d.withColumnRenamed("w", "doc"), "doc_id").join(i.withColumnRenamed("w", "item"), "item_id")
