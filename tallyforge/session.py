@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +65,18 @@ def spread(df: DataFrame) -> DataFrame:
     if df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a compressed table beside the checkpoints and read it back.
+
+    Cuts the lineage as ``checkpointed`` does, in a fraction of the disk, for wide rows that are
+    read several times. The table stays until the shared folder is emptied.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
+    path = f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
