@@ -608,3 +608,123 @@ def set03_key_union(spark, sf):
 @_query("SELECT DISTINCT entity FROM soi_position WHERE entity IS NOT NULL INTERSECT SELECT DISTINCT issuer FROM html_row")
 def set04_shared_names(spark, sf):
     return table(spark, sf, "soi_position").select("entity").where("entity is not null").intersect(table(spark, sf, "html_row").select("issuer"))
+
+
+# --- further totals, lookups and functions ----------------------------------------------------
+
+
+@_query(POSITION_CTE + "SELECT bdc, CAST(sum(fv) AS BIGINT) AS fv, CAST(sum(cost) AS BIGINT) AS cost, CAST(count(DISTINCT key) AS BIGINT) AS borrowers FROM pos GROUP BY bdc")
+def agg20_fund_totals(spark, sf):
+    return positions(spark, sf).groupBy("bdc").agg(F.sum("fv").alias("fv"), F.sum("cost").alias("cost"), F.count_distinct("key").alias("borrowers"))
+
+
+@_query(r"""WITH x AS (SELECT pos_id, regexp_replace(entity, '(?i)\s*\((?:dba|d/b/a|a/k/a|aka)\s+[^)]*\)', '', 'g') AS legal, trim(regexp_extract(entity, '(?i)\((?:dba|d/b/a|a/k/a|aka)\s+([^)]+)\)', 1)) AS common FROM soi_position)
+SELECT legal, arg_min(common, pos_id) AS common FROM x WHERE common <> '' GROUP BY legal""")
+def agg30_common_names(spark, sf):
+    e = F.col("entity")
+    x = table(spark, sf, "soi_position").select("pos_id", F.regexp_replace(e, r"(?i)\s*\((?:dba|d/b/a|a/k/a|aka)\s+[^)]*\)", "").alias("legal"), fn.trade_name(e).alias("common"))
+    return x.where("common <> ''").groupBy("legal").agg(F.min_by("common", "pos_id").alias("common"))
+
+
+@_query("""SELECT form, affil IS NULL OR affil = '' AS unstated, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT form, affil, identifier, floor(fv) AS v FROM soi_position) GROUP BY ALL""")
+def agg31_canonical_values(spark, sf):
+    d = table(spark, sf, "soi_position").select("form", "affil", "identifier", F.floor("fv").alias("v")).distinct()
+    return d.groupBy("form", (F.col("affil").isNull() | (F.col("affil") == "")).alias("unstated")).agg(F.count("*").alias("n"))
+
+
+_DELTA = """WITH t AS (SELECT ticker, portfolio_fv, total_assets, CAST(portfolio_fv - total_assets AS DOUBLE) / nullif(CAST(total_assets AS DOUBLE), 0) * 100 AS d FROM balance_sheet WHERE portfolio_fv IS NOT NULL AND total_assets IS NOT NULL)
+"""
+
+
+def _deltas(spark, sf) -> DataFrame:
+    d = F.try_divide((F.col("portfolio_fv") - F.col("total_assets")).cast("double"), F.col("total_assets").cast("double")) * 100
+    return table(spark, sf, "balance_sheet").where("portfolio_fv is not null and total_assets is not null").select("ticker", d.alias("d"))
+
+
+@_query(_DELTA + "SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE abs(d) <= 5) AS BIGINT) AS within_5, CAST(count(*) FILTER (WHERE abs(d) <= 20) AS BIGINT) AS within_20 FROM t")
+def agg33_status_kpis(spark, sf):
+    near = lambda k: F.count(F.when(F.abs("d") <= k, 1)).alias(f"within_{k}")
+    return _deltas(spark, sf).agg(F.count("*").alias("n"), near(5), near(20))
+
+
+@_query(_DELTA + "SELECT CASE WHEN abs(d) <= 5 THEN 'OK' WHEN abs(d) <= 20 THEN 'WARN' ELSE 'BAD' END AS band, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY 1")
+def agg34_bands(spark, sf):
+    band = F.when(F.abs("d") <= 5, "OK").when(F.abs("d") <= 20, "WARN").otherwise("BAD")
+    return _deltas(spark, sf).groupBy(band.alias("band")).agg(F.count("*").alias("n"))
+
+
+@_query("""WITH r AS (SELECT DISTINCT s_suppkey AS e, s_name || CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE ' 1.' || CAST(s_suppkey % 10 AS VARCHAR) END AS ident, floor(s_acctbal) AS fv, CAST(floor(s_suppkey / 2) AS BIGINT) AS entity FROM supplier)
+SELECT CAST(a.e AS BIGINT) AS id FROM r a WHERE regexp_matches(a.ident, ' \\d\\.\\d$') AND EXISTS (SELECT 1 FROM r b WHERE b.entity = a.entity AND NOT regexp_matches(b.ident, ' \\d\\.\\d$') AND abs(a.fv - b.fv) < 1000)""".replace("\\\\", "\\"))
+def jn04_numbered_alias(spark, sf):
+    k = F.col("s_suppkey")
+    r = table(spark, sf, "supplier").select(k.cast("bigint").alias("id"), F.concat("s_name", F.when(k % 2 == 0, "").otherwise(F.concat(F.lit(" 1."), (k % 10).cast("string")))).alias("ident"), F.floor("s_acctbal").alias("fv"), F.floor(k / 2).cast("bigint").alias("entity"))
+    numbered = F.col("ident").rlike(r" \d\.\d$")
+    plain = r.where(~numbered).select("entity", F.col("fv").alias("other"))
+    return r.where(numbered).join(plain, "entity").where(F.abs(F.col("fv") - F.col("other")) < 1000).select("id").distinct()
+
+
+@_query("""SELECT s.pos_id, c.label_id FROM soi_position s JOIN canon_label c ON c.kind = 'sector' AND c.label = s.sector""")
+def jn09_label_lookup(spark, sf):
+    c = table(spark, sf, "canon_label").where("kind = 'sector'").select(F.col("label").alias("sector"), "label_id")
+    return table(spark, sf, "soi_position").select("pos_id", "sector").join(F.broadcast(c), "sector").select("pos_id", "label_id")
+
+
+@_query("""SELECT f.ticker, f.name, CAST(n AS BIGINT) AS positions, nav FROM fund f JOIN (SELECT bdc, count(*) AS n FROM soi_position GROUP BY 1) s ON s.bdc = f.ticker LEFT JOIN (SELECT ticker, arg_max(nav, period_end) FILTER (WHERE nav IS NOT NULL) AS nav FROM balance_sheet GROUP BY 1) b ON b.ticker = f.ticker""")
+def jn14_universe(spark, sf):
+    n = table(spark, sf, "soi_position").groupBy(F.col("bdc").alias("ticker")).agg(F.count("*").alias("positions"))
+    b = table(spark, sf, "balance_sheet").groupBy("ticker").agg(F.max_by("nav", F.when(F.col("nav").isNotNull(), F.col("period_end"))).alias("nav"))
+    return table(spark, sf, "fund").select("ticker", "name").join(n, "ticker").join(b, "ticker", "left")
+
+
+@_query(POSITION_CTE + f"SELECT ord, ccy, CAST({_FX} AS DOUBLE) / 100 AS usd_per_unit FROM pos")
+def jn18_fx_lookup(spark, sf):
+    return positions(spark, sf).select("ord", "ccy", fn.fx_rate(F.col("ccy")).alias("usd_per_unit"))
+
+
+@_query("SELECT DISTINCT entity FROM soi_position WHERE entity IS NOT NULL EXCEPT SELECT issuer FROM documents")
+def set05_difference(spark, sf):
+    return table(spark, sf, "soi_position").select("entity").where("entity is not null").distinct().subtract(table(spark, sf, "documents").select("issuer"))
+
+
+@_query("""SELECT pos_id, CAST(len(list_intersect(string_split(lower(regexp_replace(entity, '[^ -~]', '?', 'g')), ' '), string_split(lower(regexp_replace(company, '[^ -~]', '?', 'g')), ' '))) AS BIGINT) AS shared FROM soi_position WHERE entity IS NOT NULL AND company IS NOT NULL""")
+def set06_token_overlap(spark, sf):
+    words = lambda c: F.split(F.lower(F.regexp_replace(c, r"[^ -~]", "?")), " ")
+    return table(spark, sf, "soi_position").where("entity is not null and company is not null").select("pos_id", F.size(F.array_intersect(words("entity"), words("company"))).cast("bigint").alias("shared"))
+
+
+@_query("SELECT DISTINCT bdc, caption FROM html_row")
+def set07_distinct_captions(spark, sf):
+    return table(spark, sf, "html_row").select("bdc", "caption").dropDuplicates()
+
+
+@_query("SELECT pos_id, CASE WHEN abs(mark / 100) <= 1 AND mark <> 0 THEN floor(mark / 100 * 100 * 10000 + 0.5) / 10000 ELSE mark / 100 END AS pct FROM soi_position WHERE mark IS NOT NULL")
+def fn03_as_percent(spark, sf):
+    return table(spark, sf, "soi_position").where("mark is not null").select("pos_id", fn.as_percent(F.col("mark") / 100).alias("pct"))
+
+
+@_query("SELECT row_id, CASE WHEN cost IS NULL THEN NULL ELSE CAST(CASE WHEN row_id % 2 = 0 THEN -floor(abs(cost)) ELSE floor(abs(cost)) END AS DOUBLE) END AS amount FROM html_row")
+def fn20_money(spark, sf):
+    whole = F.floor(F.abs("cost")).cast("bigint").cast("string")
+    cell = F.when(F.col("row_id") % 2 == 0, F.concat(F.lit("$("), whole, F.lit(")"))).otherwise(F.concat(F.lit("$ "), whole))
+    return table(spark, sf, "html_row").select("row_id", fn.money(F.coalesce(cell, F.lit("—"))).alias("amount"))
+
+
+@_query("""SELECT ticker, CAST(period_end AS VARCHAR) AS period_end, floor((nav - lag(nav) OVER w) / nullif(lag(nav) OVER w, 0) * 100 * 100 + 0.5) / 100 AS pct FROM balance_sheet WINDOW w AS (PARTITION BY ticker ORDER BY period_end)""")
+def fn31_percent_change(spark, sf):
+    before = F.lag("nav").over(Window.partitionBy("ticker").orderBy("period_end"))
+    return table(spark, sf, "balance_sheet").select("ticker", F.col("period_end").cast("string").alias("period_end"), fn.percent_change(F.col("nav").cast("double"), before.cast("double")).alias("pct"))
+
+
+@_query(_CLOSE + "SELECT ticker, CAST(d AS VARCHAR) AS d, close, lag(close) OVER (PARTITION BY ticker ORDER BY d) AS prev FROM c")
+def win06_previous_close(spark, sf):
+    e = table(spark, sf, "events")
+    c = e.groupBy(F.col("event_type").alias("ticker"), F.col("ts").cast("date").alias("d")).agg(F.max_by("value", F.struct("ts", "event_id")).alias("close"))
+    return c.select("ticker", F.col("d").cast("string").alias("d"), "close", F.lag("close").over(Window.partitionBy("ticker").orderBy("d")).alias("prev"))
+
+
+@_query(POSITION_CTE + "SELECT bdc, key, CAST(sum(fv) AS BIGINT) AS fv, CAST(row_number() OVER (PARTITION BY bdc ORDER BY sum(fv) DESC, key) AS BIGINT) AS place FROM pos GROUP BY bdc, key QUALIFY place <= 10")
+def srt07_largest_by_fund(spark, sf):
+    """The ten largest borrowers of each fund: a top-k report."""
+    g = positions(spark, sf).groupBy("bdc", "key").agg(F.sum("fv").alias("fv"))
+    place = F.row_number().over(Window.partitionBy("bdc").orderBy(F.desc("fv"), "key"))
+    return g.withColumn("place", place.cast("bigint")).where("place <= 10")
