@@ -106,6 +106,12 @@ def parse_moment(text: str, day_first: bool) -> Parsed:
     s = text.strip().strip("\u200b\ufeff")
     if not s or len(s) > 100:
         return _NOTHING
+    if len(s) == 10 and s[4] == s[7] == "-" and s.isascii():
+        # most texts; what is no date in this form is none in another
+        try:
+            return dt.date.fromisoformat(s).isoformat(), None, None, None, None
+        except ValueError:
+            return _NOTHING
     if s.isdecimal() and s.isascii() and len(s) in (10, 13):
         return None, None, int(s[:10]), 0, None
     if m := _COMPACT.fullmatch(s):
