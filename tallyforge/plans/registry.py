@@ -441,7 +441,7 @@ def fn15_borrower_key(spark, sf):
 
 @_query(
     "SELECT pos_id, CASE "
-    + " ".join(f"WHEN regexp_matches(lower(type), '{p}') THEN '{b}'" for p, b in fn.TYPE_PATTERNS)
+    + " ".join(f"WHEN regexp_matches(type, '{p}', 'i') THEN '{b}'" for p, b in fn.TYPE_PATTERNS)
     + " ELSE 'Other' END AS bucket FROM soi_position"
 )
 def fn08_type(spark, sf):
