@@ -17,7 +17,7 @@ from tallyforge.llm.spans import shared_words
 from tallyforge.operators.moments import normalise_moments
 from tallyforge.operators.units import convert_units
 from tallyforge.plans.general_queries import stated_amounts, stated_times, unit_edges
-from tallyforge.session import broadcast_within, checkpointed, spread, table
+from tallyforge.session import broadcast_within, checkpointed, spread, stored, table
 
 #: Entries of a reference list that the driver reads to build the trees.
 MAX_ENTRIES = 100_000
@@ -105,12 +105,9 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     meant = closest_entries(w, forms).join(F.broadcast(label), "text", "left").select("text", F.coalesce("exact", "entry").alias("label"))
     meant = broadcast_within(checkpointed(meant.where("label > 0")), MAX_BROADCAST_NAMES)
     amounts = stated_amounts(spark, sf_dir).where("field in ('fv', 'fair_value')")
-    usd = convert_units(amounts, unit_edges(spark, sf_dir), "USD*1").where("status = 'converted'").select("src", "row_id", F.col("val").alias("amount"), "unit")
+    usd = convert_units(amounts, unit_edges(spark, sf_dir), "USD*1").where("status = 'converted'")
     when = normalise_moments(stated_times(spark, sf_dir)).where(F.col("val").isNotNull())
-    when = when.groupBy("src", "row_id").agg(
-        F.max(F.when(F.col("field").isin("acq", "acquisition_date"), F.col("val"))).alias("acq"),
-        F.max(F.when(F.col("field").isin("maturity", "maturity_date"), F.col("val"))).alias("maturity"),
-    )
+    acquired = F.col("field").isin("acq", "acquisition_date")
     soi = table(spark, sf_dir, "soi_position").select(
         F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), "bdc", "period_end", F.coalesce("entity", "company").alias("name"), F.col("type").alias("text"),
         "spread", "rate", F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), "shares", F.lit(None).cast("double").alias("stated"),
@@ -119,24 +116,34 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.lit("html_row").alias("src"), "row_id", "bdc", "period_end", F.col("issuer").alias("name"), F.col("investment_type").alias("text"),
         "spread", F.col("interest_rate").alias("rate"), F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), F.col("shares_units").alias("shares"), F.col("fair_value").alias("stated"),
     )
-    r = soi.unionByName(html).join(names, "name").join(meant, "text", "left").join(usd, ["src", "row_id"], "left").join(when, ["src", "row_id"], "left")
+    base = soi.unionByName(html).join(names, "name").join(meant, "text", "left")
+    cell = F.xxhash64("bdc", F.col("period_end").cast("string"), "who")
+    base = base.select("src", "row_id", cell.alias("cell"), "label", "spread", "rate", F.xxhash64("base").alias("h"), "base", "pik", "shares", "stated")
+    base = base.withColumn("base", F.when(F.col("base").isNotNull(), F.col("h"))).drop("h")
+    # a row's parts meet in one aggregation instead of a join each
+    parts = base.unionByName(usd.select("src", "row_id", F.col("val").alias("amount"), F.element_at(F.split("unit", r"\*"), 2).cast("double").alias("scale")), allowMissingColumns=True)
+    parts = parts.unionByName(
+        when.select("src", "row_id", F.when(acquired, F.substring("val", 1, 10)).alias("acq"), F.when(~acquired, F.substring("val", 1, 10)).alias("maturity")), allowMissingColumns=True
+    )
+    r = parts.groupBy("src", "row_id").agg(F.collect_set("cell").alias("cells"), *[F.max(c).alias(c) for c in parts.columns if c not in ("src", "row_id", "cell")]).where(F.size("cells") > 0)
     # a stated amount is exact to half of its last digit, in its unit
     step = F.when(F.col("stated") == F.round("stated"), 0.5).when(F.col("stated") * 10 == F.round(F.col("stated") * 10), 0.05).when(F.abs(F.col("stated") * 100 - F.round(F.col("stated") * 100)) < 1e-6, 0.005).otherwise(0.0005)
-    scale = F.element_at(F.split("unit", r"\*"), 2).cast("double")
     dollars = F.abs(F.col("amount") / F.when(F.col("stated") != 0, F.col("stated")))
-    tol = 0.009 * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, scale)).otherwise(F.lit(1.0))
+    tol = 0.009 * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, "scale")).otherwise(F.lit(1.0))
     r = r.withColumn("tol", tol)
-    cell = ["bdc", F.col("period_end").cast("string"), "who"]
 
     def key(tag: str, *cols: Column | str) -> Column:
         ok = F.lit(True)
         for c in cols:
             ok &= (F.col(c) if isinstance(c, str) else c).isNotNull()
-        return F.when(ok, F.xxhash64(F.lit(tag), *cell, *cols))
-
-    size = F.when(F.abs("amount") > 0, F.floor(F.log(F.abs("amount")) / F.log(F.lit(1.04))))
-    near = [size, size - 1, size + 1]
-    about = F.when(F.col("src") == "soi_position", F.array(key("fv", F.signum("amount"), size))).otherwise(F.array(*[key("fv", F.signum("amount"), x) for x in near]))
+        return F.when(ok, F.xxhash64(F.lit(tag), *cols))
+
+    # a size lies in one bin; a probe looks into its own and the nearer neighbour, half a bin being more than any tolerance
+    at = F.log(F.abs("amount")) / F.log(F.lit(1.04))
+    size = F.when(F.abs("amount") > 0, F.floor(at))
+    beside = F.when(at - F.floor(at) < 0.5, size - 1).otherwise(size + 1)
+    sign = F.signum("amount")
+    about = F.when(F.col("src") == "soi_position", F.array(key("fv", sign, size))).otherwise(F.array(key("fv", sign, size), key("fv", sign, beside)))
     keys = F.concat(
         about,
         F.array(
@@ -147,11 +154,13 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             key("rates", "spread", "rate", "label"),
         ),
     )
-    r = r.withColumn("keys", F.array_distinct(F.filter(keys, lambda k: k.isNotNull())))
+    r = r.withColumn("own", F.array_distinct(F.filter(keys, lambda k: k.isNotNull())))
+    r = r.withColumn("keys", F.flatten(F.transform("cells", lambda c: F.transform("own", lambda k: F.xxhash64(c, k)))))
     # repeated records of one side state the same amount to three digits
     lead = F.pow(F.lit(10.0), F.floor(F.log10(F.abs("amount"))) - 2)
-    r = r.withColumn("sig", F.when(F.abs("amount") > 0, F.concat_ws("|", F.col("label").cast("string"), "acq", F.round(F.col("amount") / lead).cast("string"), F.log10(lead).cast("string"))).otherwise(F.concat_ws("|", F.lit("row"), F.col("row_id").cast("string"))))
-    r = r.withColumnRenamed("row_id", "id")
+    sig = F.when(F.abs("amount") > 0, F.xxhash64("label", "acq", F.round(F.col("amount") / lead), lead)).otherwise(F.xxhash64(F.lit("row"), "row_id"))
+    r = r.withColumn("sig", sig).drop("cells", "own", "stated", "scale")
+    r = stored(r.withColumnRenamed("row_id", "id"))
     return r.where("src = 'soi_position'"), r.where("src = 'html_row'")
 
 
