@@ -14,7 +14,7 @@ nodes of the suffix tree of all documents. The tree is built in parts:
 3. Subtrees. A group within the bound is sorted and its subtree read off the common
    prefixes of neighbours: the nodes at full depth whose leaves lie in two documents.
 
-Defined results: null and short texts share nothing; repeats within one document count only
+Defined results: null and short texts, and documents without an id, share nothing; repeats within one document count only
 if another document has them too; copies of a whole document are shared wholly; texts of
 any length are read whole. Blocks are 64-bit hashes, five of which must agree.
 """
@@ -91,6 +91,7 @@ def _suffixes(length: int, block: int):
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            parts: list[np.ndarray] = []  # a row of (doc_id, pos, block hashes) a suffix
             for d, w, at in zip(pdf["doc_id"], pdf["w"], pdf["places"]):
                 h = block_hashes(w, block)
                 last = len(w) - length
@@ -98,9 +99,9 @@ def _suffixes(length: int, block: int):
                 for a in at:
                     keep[max(0, a - (length - block)) : min(last, a) + 1] = True
                 p = np.flatnonzero(keep)
-                out = {"doc_id": np.full(len(p), d, np.int64), "pos": p}
-                out |= {f"h{k}": h[p + k * block] for k in range(depth)}
-                yield pd.DataFrame(out)
+                parts.append(np.stack([np.full(len(p), d, np.int64), p, *(h[p + k * block] for k in range(depth))], axis=1))
+            rows = np.concatenate(parts) if parts else np.zeros((0, 2 + depth), np.int64)
+            yield pd.DataFrame(rows, columns=["doc_id", "pos", *(f"h{k}" for k in range(depth))])
 
     return cut
 
@@ -131,7 +132,7 @@ def shared_windows(docs: DataFrame, length: int = 60, block: int = BLOCK, max_gr
         raise ValueError("length must be a multiple of block")
     depth = length // block
     words = F.filter(F.split("text", r"(?U)\s+"), lambda x: x != "")
-    d = docs.select("doc_id", F.transform(words, lambda x: F.xxhash64(x)).alias("w")).where(F.size("w") >= length)
+    d = docs.select("doc_id", F.transform(words, lambda x: F.xxhash64(x)).alias("w")).where(F.col("doc_id").isNotNull() & (F.size("w") >= length))
     found = checkpointed(d.mapInPandas(_find_anchors(length, block), "doc_id bigint, pos bigint, anchor bigint"))
     two = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("anchor")
     places = found.join(two, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("places"))

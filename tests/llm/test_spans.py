@@ -8,7 +8,7 @@ from tallyforge.llm.spans import anchors, block_hashes, shared_words
 
 def brute(docs, length):
     win = {}
-    toks = [(d, (t or "").split()) for d, t in docs]
+    toks = [(d, (t or "").split()) for d, t in docs if d is not None]
     for d, w in toks:
         for k in range(len(w) - length + 1):
             win.setdefault(tuple(w[k : k + length]), set()).add(d)
@@ -35,7 +35,7 @@ def corpus(n, hot):
         if d % 5 == 0 and hot:
             w = base[:70] + w
         out.append((d, "  ".join(w) + "\n"))
-    return [*out, (9000, None), (9001, ""), (9002, " ".join(["same"] * 200))]
+    return [*out, (None, " ".join(base)), (9000, None), (9001, ""), (9002, " ".join(["same"] * 200))]
 
 
 @pytest.mark.parametrize(("length", "block", "bound"), [(24, 6, 50_000), (24, 12, 40), (20, 5, 7)])
