@@ -67,7 +67,8 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def borrower_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(name, own, line, numeral, how, rarity) of every borrower name in the two books."""
-    soi = table(spark, sf_dir, "soi_position").select("entity", "company").groupBy("entity", "company").agg(F.count("*").alias("n"))
+    # as many rows as spellings meet, read for the names and for what rows state
+    soi = checkpointed(table(spark, sf_dir, "soi_position").groupBy("entity", "company").agg(F.count("*").alias("n")))
     html = table(spark, sf_dir, "html_row").groupBy("issuer").agg(F.count("*").alias("n"))
     names = soi.select(F.col("entity").alias("name"), "n").unionByName(soi.select(F.col("company").alias("name"), "n")).unionByName(html.select(F.col("issuer").alias("name"), "n"))
     names = names.where(F.col("name").isNotNull()).groupBy("name").agg(F.sum("n").alias("n"))
