@@ -7,6 +7,12 @@ missed, while frequent n-grams seldom are one. Documents and items that share a
 aligned by Smith-Waterman over their words, which scores edited and paraphrased copies and
 also gives the longest run of equal words.
 
+Seeds find runs. Edited copies may hold none, whatever the seed's length, so ``scored_items``
+asks of every document and item a bound that no score exceeds: each document word in an
+alignment is matched (2) or costs 1 at least, and matched words are words of the item, so the
+largest sum over a stretch of the document of 2 for words of the item and -1 for others is at
+least the score. What reaches the asked score by this bound is aligned; nothing is missed.
+
 Defined results: null and empty texts, and items shorter than an n-gram, match nothing;
 repeated items and documents match each; ties of frequency take the first n-gram of the
 window; whole texts are read, whatever their length (an alignment keeps one row of scores).
@@ -26,6 +32,11 @@ from tallyforge.session import broadcast_within, checkpointed
 #: Item n-grams and seeds are broadcast up to so many rows (16 bytes each), shuffled beyond.
 MAX_BROADCAST_SEEDS = 2_000_000
 
+#: A pass over the documents bounds so many items, of so many words in all, on average.
+ITEMS_A_PASS, WORDS_A_PASS = 1000, 60_000
+#: Document words that are bounded at a time.
+WORDS_AT_ONCE = 4096
+
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -93,18 +104,58 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "matched", "spanned", "at", "run", "words"])
 
 
+ALIGNED = "doc_id bigint, item_id bigint, score bigint, matched bigint, spanned bigint, at bigint, run bigint, words bigint"
+
+
+def _hashed(t: DataFrame, key: str, least: int) -> DataFrame:
+    """(key, w): the hashed words of texts of ``least`` words or more."""
+    w = F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x))
+    return t.select(key, w.alias("w")).where(F.size("w") >= least)
+
+
+def bounds(doc: np.ndarray, known: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """For each item, the largest sum of ``worth`` over a stretch of ``doc``: no alignment scores more.
+
+    ``worth`` has a row a word of ``known`` (sorted), and a last one for all other words.
+    """
+    at = np.minimum(np.searchsorted(known, doc), len(known) - 1)
+    at = np.where(known[at] == doc, at, len(known))
+    best = here = np.zeros(worth.shape[1], np.int64)
+    for k in range(0, len(at), WORDS_AT_ONCE):
+        sums = here + np.cumsum(worth[at[k : k + WORDS_AT_ONCE]], axis=0, dtype=np.int32)
+        ending = sums - np.minimum(np.minimum.accumulate(sums, axis=0), 0)
+        best, here = np.maximum(best, ending.max(axis=0)), ending[-1]
+    return best
+
+
+def _bounded(items: list[list[int]], least: float):
+    """(doc_id, doc, item) of documents and items whose bound is ``least`` of the item's best score or more."""
+    asked = np.array([MATCH * least * len(w) for w in items])
+    words = [np.array(w, np.int64) for w in items]
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = np.unique(np.concatenate(words)) if words else np.zeros(0, np.int64)
+        worth = np.full((len(known) + 1, len(words)), max(MISMATCH, GAP), np.int8)
+        for k, w in enumerate(words):
+            worth[np.searchsorted(known, w), k] = MATCH
+        for pdf in batches:
+            rows = []
+            for d, w in zip(pdf["doc_id"], pdf["w"]):
+                if words:
+                    rows += [(d, w, words[k]) for k in np.nonzero(bounds(np.asarray(w), known, worth) >= asked)[0]]
+            yield pd.DataFrame(rows, columns=["doc_id", "doc", "item"])
+
+    return keep
+
+
 def leaked_items(docs: DataFrame, items: DataFrame, run: int = 13, n: int = 5) -> DataFrame:
     """(doc_id, item_id, score, matched, spanned, at, run, words) of documents and items that share a seed.
 
     ``docs`` has (doc_id, text), ``items`` (item_id, text). ``run`` is the length of runs that
     are never missed; ``n`` the words of a seed.
     """
-    def hashed(t: DataFrame, key: str) -> DataFrame:
-        # written once: the words are read for the counts, the seeds and the alignment
-        w = F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x))
-        return checkpointed(t.select(key, w.alias("w")).where(F.size("w") >= n))
-
-    d, i = hashed(docs, "doc_id"), hashed(items, "item_id")
+    # written once: the words are read for the counts, the seeds and the alignment
+    d, i = checkpointed(_hashed(docs, "doc_id", n)), checkpointed(_hashed(items, "item_id", n))
     item_grams = checkpointed(i.select("item_id", F.size("w").alias("len"), F.inline(_grams(F.col("w"), n))))
     wanted = broadcast_within(checkpointed(item_grams.select("gram").distinct()), MAX_BROADCAST_SEEDS)
     doc_grams = d.select("doc_id", F.explode(_grams(F.col("w"), n)["gram"]).alias("gram"))
@@ -119,4 +170,24 @@ def leaked_items(docs: DataFrame, items: DataFrame, run: int = 13, n: int = 5) -
     seeds = broadcast_within(checkpointed(seeds), MAX_BROADCAST_SEEDS)
     pairs = doc_grams.join(seeds, "gram").select("doc_id", "item_id").distinct()
     both = pairs.join(d.withColumnRenamed("w", "doc"), "doc_id").join(i.withColumnRenamed("w", "item"), "item_id")
-    return both.mapInPandas(_aligned, "doc_id bigint, item_id bigint, score bigint, matched bigint, spanned bigint, at bigint, run bigint, words bigint")
+    return both.mapInPandas(_aligned, ALIGNED)
+
+
+def scored_items(docs: DataFrame, items: DataFrame, least: float = 0.5, n: int = 5) -> DataFrame:
+    """The columns of ``leaked_items`` for every document and item whose score is ``least`` of the item's best or more.
+
+    ``n`` is the length from which items count. Documents are read once a pass of items.
+    """
+    i = checkpointed(_hashed(items, "item_id", n))
+    d = _hashed(docs, "doc_id", 1)
+    total = i.agg(F.count("*").alias("items"), F.coalesce(F.sum(F.size("w")), F.lit(0)).alias("words")).first()
+    passes = max(1, -(-total.items // ITEMS_A_PASS), -(-total.words // WORDS_A_PASS))
+    d = checkpointed(d) if passes > 1 else d
+    near = None
+    for k in range(passes):
+        # equal items are bounded once and meet again in the join
+        part = i.select("w").distinct().where(F.pmod(F.xxhash64("w"), F.lit(passes)) == k)
+        found = d.mapInPandas(_bounded([r.w for r in part.collect()], least), "doc_id bigint, doc array<bigint>, item array<bigint>")
+        near = found if near is None else near.unionByName(found)
+    both = near.join(i.withColumnRenamed("w", "item"), "item")
+    return both.mapInPandas(_aligned, ALIGNED).where(F.col("score") >= MATCH * least * F.col("words"))

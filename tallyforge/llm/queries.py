@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import is_missing
 from tallyforge.llm.canon import SYNONYMS, closest_entries, reference_forms
-from tallyforge.llm.leaks import leaked_items
+from tallyforge.llm.leaks import leaked_items, scored_items
 from tallyforge.llm.linkage import Rules, link_records
 from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.names import entity_classes, variant_pairs
@@ -181,18 +181,15 @@ def p7_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _linked(spark, sf_dir)
 
 
-def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaked_items(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item"))
-
-
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the items of which they hold 13 or more consecutive words."""
-    return _leaks(spark, sf_dir).where("run >= 13").select("doc_id", "item_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return leaked_items(docs, table(spark, sf_dir, "eval_item")).where("run >= 13").select("doc_id", "item_id")
 
 
 def p8_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignments of documents with items, edited copies included, of half the item's best score or more."""
-    x = _leaks(spark, sf_dir).where("score >= words")
+    x = scored_items(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_item"))
     return x.select("doc_id", "item_id", "score", "matched", "run", (F.col("matched") / F.col("words")).alias("share"))
 
 

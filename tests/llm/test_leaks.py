@@ -3,7 +3,9 @@ import re
 
 import numpy as np
 
+from tallyforge.llm import leaks
 from tallyforge.llm.leaks import align, leaked_items
+from tallyforge.llm.queries import QUERIES
 
 WORDS = [f"w{i}" for i in range(40)]
 
@@ -58,3 +60,28 @@ def test_empty(spark):
     i = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
     assert leaked_items(e, i).count() == 0
     assert leaked_items(e.unionByName(spark.createDataFrame([(1, "a b c d e f")], e.schema)), i.limit(0)).count() == 0
+
+
+def test_edited_copies_score_beside_a_whole_one(spark, tmp_path, monkeypatch):
+    item = [f"i{k}" for k in range(48)]
+    edited = lambda step: " ".join("x" if k % step == step - 1 else w for k, w in enumerate(item))
+    # edits each 8 and each 4 words, each other word an insertion, and a text of other words
+    docs = [(1, " ".join(item)), (2, "a b " + edited(8)), (3, edited(4) + " c"), (4, " ".join(f"{w} x" for w in item[:47]) + " " + item[47]), (5, "x " * 300), (6, None), (7, "")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(9, " ".join(item)), (10, " ".join(item)), (11, "five other words than these")], "item_id bigint, text string").write.parquet(f"{tmp_path}/eval_item.parquet")
+    want = {(d, i, s) for d, s in ((1, 96), (2, 79), (3, 61), (4, 49)) for i in (9, 10)}
+    for size in (1000, 1):
+        monkeypatch.setattr(leaks, "ITEMS_A_PASS", size)
+        got = QUERIES["p8_scored"](spark, str(tmp_path)).collect()
+        assert {(r.doc_id, r.item_id, r.score) for r in got} == want
+
+
+def test_bound_is_never_below_the_score(monkeypatch):
+    rnd = random.Random(2)
+    monkeypatch.setattr(leaks, "WORDS_AT_ONCE", 7)
+    for _ in range(200):
+        d, i = [np.array([rnd.randint(0, 6) for _ in range(rnd.randint(1, 40))]) for _ in range(2)]
+        known = np.unique(i)
+        worth = np.array([[2]] * len(known) + [[-1]], np.int8)
+        sums = [sum(2 if w in known else -1 for w in d[a:b]) for a in range(len(d)) for b in range(a, len(d) + 1)]
+        assert leaks.bounds(d, known, worth)[0] == max(sums) >= align(d, i)[0]
