@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import is_missing
@@ -92,10 +92,28 @@ HOLDING_RULES = Rules(
     exact={"label": (1.0, 5.0), "spread": (1.5, 5.0), "rate": (1.0, 5.0), "base": (0.5, 5.0), "pik": (0.5, 2.0), "shares": (3.0, 5.0)},
     prefix={"acq": (2.5, 5.0), "maturity": (2.0, 5.0)},
 )
+#: A record's tolerance: a share of its amount, and for positions a dollar.
+AMOUNT_SHARE, AMOUNT_LEAST = 0.009, 1.0
 #: Spelling classes are broadcast up to so many names, joined by a shuffle beyond.
 MAX_BROADCAST_NAMES = 300_000
 
 
+def size_bin(amount: Column) -> Column:
+    """The bin of 4 % in which an amount lies; bins rise with amounts, 0 has those below a dollar."""
+    size = F.floor(F.log(F.abs(amount)) / F.log(F.lit(1.04))) + 1
+    return F.when(F.abs(amount) < 1, F.lit(0)).otherwise(F.signum(amount) * size).cast("bigint")
+
+
+def size_probes(amount: Column, tol: Column) -> Column:
+    """Every bin with an amount of a position that is within the tolerances of both records."""
+    # the edges solve |x - amount| = tol + share * |x| + least for x; a little wider for rounding
+    reach = (tol + AMOUNT_LEAST) * (1 + 1e-9) + 1e-9 * F.abs(amount)
+    low, high = amount - reach, amount + reach
+    low = F.when(low >= 0, low / (1 + AMOUNT_SHARE)).otherwise(low / (1 - AMOUNT_SHARE))
+    high = F.when(high >= 0, high / (1 - AMOUNT_SHARE)).otherwise(high / (1 + AMOUNT_SHARE))
+    return F.sequence(size_bin(low), size_bin(high))
+
+
 def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The positions and the HTML rows as records for linkage."""
     names = borrower_classes(spark, sf_dir).select("name", F.concat_ws("|", "own", "line", F.col("numeral").cast("string")).alias("who")).distinct()
@@ -130,7 +148,7 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     # a stated amount is exact to half of its last digit, in its unit
     step = F.when(F.col("stated") == F.round("stated"), 0.5).when(F.col("stated") * 10 == F.round(F.col("stated") * 10), 0.05).when(F.abs(F.col("stated") * 100 - F.round(F.col("stated") * 100)) < 1e-6, 0.005).otherwise(0.0005)
     dollars = F.abs(F.col("amount") / F.when(F.col("stated") != 0, F.col("stated")))
-    tol = 0.009 * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, "scale")).otherwise(F.lit(1.0))
+    tol = AMOUNT_SHARE * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, "scale")).otherwise(F.lit(AMOUNT_LEAST))
     r = r.withColumn("tol", tol)
 
     def key(tag: str, *cols: Column | str) -> Column:
@@ -139,12 +157,9 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             ok &= (F.col(c) if isinstance(c, str) else c).isNotNull()
         return F.when(ok, F.xxhash64(F.lit(tag), *cols))
 
-    # a size lies in one bin; a probe looks into its own and the nearer neighbour, half a bin being more than any tolerance
-    at = F.log(F.abs("amount")) / F.log(F.lit(1.04))
-    size = F.when(F.abs("amount") > 0, F.floor(at))
-    beside = F.when(at - F.floor(at) < 0.5, size - 1).otherwise(size + 1)
-    sign = F.signum("amount")
-    about = F.when(F.col("src") == "soi_position", F.array(key("fv", sign, size))).otherwise(F.array(key("fv", sign, size), key("fv", sign, beside)))
+    # a position lies in one bin; an HTML row probes all that the tolerances reach
+    bins = F.when(F.col("src") == "soi_position", F.array(size_bin(F.col("amount")))).otherwise(size_probes(F.col("amount"), F.col("tol")))
+    about = F.coalesce(F.transform(F.filter(bins, lambda x: x.isNotNull()), lambda x: F.xxhash64(F.lit("fv"), x)), F.array().cast("array<bigint>"))
     keys = F.concat(
         about,
         F.array(
