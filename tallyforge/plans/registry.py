@@ -728,3 +728,30 @@ def srt07_largest_by_fund(spark, sf):
     g = positions(spark, sf).groupBy("bdc", "key").agg(F.sum("fv").alias("fv"))
     place = F.row_number().over(Window.partitionBy("bdc").orderBy(F.desc("fv"), "key"))
     return g.withColumn("place", place.cast("bigint")).where("place <= 10")
+
+
+# --- further functions and picks; without SQL, tested on their cases ----------------------------
+
+
+def _of(name: str, source: str, key: str, **columns):
+    """Register a projection of column functions over a table."""
+    QUERIES[name] = lambda spark, sf: table(spark, sf, source).select(key, *[f(F.col(c)).alias(out) for out, (f, c) in columns.items()])
+
+
+_of("fn04_unit_currency", "soi_position", "pos_id", currency=(fn.unit_currency, "ccy"))
+_of("fn09_clean_sector", "soi_position", "pos_id", sector=(fn.clean_sector, "sector"))
+_of("fn19_primary_legal", "soi_position", "pos_id", legal=(fn.primary_legal, "entity"))
+_of("fn21_stated_rates", "soi_position", "pos_id", rate=(fn.stated_rate, "descr"), pik_rate=(fn.stated_pik_rate, "descr"))
+_of("fn22_stated_base_rate", "soi_position", "pos_id", base=(fn.stated_base_rate, "descr"))
+_of("fn23_stated_date", "html_row", "row_id", maturity=(fn.stated_date, "maturity_date"), acquired=(fn.stated_date, "acquisition_date"))
+_of("fn25_shown_maturity", "soi_position", "pos_id", maturity=(fn.shown_maturity, "maturity"))
+_of("fn28_number_or_null", "soi_position", "pos_id", fv=(lambda c: fn.number_or_null(c.cast("string")), "fv_raw"))
+_of("fn41_short_money", "soi_position", "pos_id", fv=(fn.short_money, "fv"))
+
+
+@_query()
+def agg17_audit_pick(spark, sf):
+    """Of the amounts that quarterly filings state for a fund and period, the largest in size; the first of equals."""
+    quarterly = table(spark, sf, "filing").where(F.col("form").startswith("10-Q")).select("accession").distinct()
+    x = table(spark, sf, "soi_position").where("fv is not null").join(quarterly, "accession", "left_semi")
+    return x.groupBy("bdc", "period_end").agg(F.max_by("fv", F.struct(F.abs("fv"), -F.col("pos_id"))).alias("fv"))
