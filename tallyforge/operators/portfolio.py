@@ -133,13 +133,13 @@ def books(p: DataFrame) -> DataFrame:
     return g.select("bdc", "key", "fv", "cost", "par", F.col("f.entity").alias("name"), "f.sector", "f.type")
 
 
-def overlap(book: DataFrame, max_funds: int = 1000) -> DataFrame:
+def overlap(book: DataFrame) -> DataFrame:
     """(fund_a, fund_b, shared_fv, shared_names): value that a fund holds in borrowers of another.
 
     Each borrower carries the set of its funds, as many as there are funds at most, so that
     the rows of a borrower never meet each other.
     """
-    who = book.groupBy("key").agg(F.collect_set("bdc").alias("funds")).where((F.size("funds") > 1) & (F.size("funds") <= max_funds))
+    who = book.groupBy("key").agg(F.collect_set("bdc").alias("funds")).where(F.size("funds") > 1)
     x = book.join(who, "key").select("bdc", "fv", F.explode("funds").alias("other")).where("bdc <> other")
     return x.groupBy(F.col("bdc").alias("fund_a"), F.col("other").alias("fund_b")).agg(F.sum("fv").alias("shared_fv"), F.count("*").alias("shared_names"))
 

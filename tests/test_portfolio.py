@@ -156,3 +156,8 @@ def test_search_needs_every_word(spark):
     ix = spark.createDataFrame([("k1", "Red Widget LLC", 5), ("k2", "Red Bolt", 9)], "key string, name string, fv bigint")
     assert [r.key for r in op.search(ix, "red LLC").collect()] == ["k1"]
     assert [r.key for r in op.search(ix, "red").collect()] == ["k2", "k1"]
+
+
+def test_overlap_of_a_borrower_that_very_many_funds_hold(spark):
+    book = spark.range(1002).select(F.col("id").cast("string").alias("bdc"), F.lit("k").alias("key"), F.lit(2).alias("fv"))
+    assert op.overlap(book).agg(F.count("*"), F.sum("shared_fv")).first()[:] == (1002 * 1001, 2 * 1002 * 1001)
