@@ -100,11 +100,16 @@ def _as_month(s: str) -> str | None:
     return f"{y:04d}-{m:02d}" if y and m and 1 <= m <= 12 else None
 
 
-@lru_cache(100_000)
 def parse_moment(text: str, day_first: bool) -> Parsed:
     """What ``text`` states: a date, a month, or local seconds with an offset or a zone's name."""
-    s = text.strip().strip("\u200b\ufeff")
-    if not s or len(s) > 100:
+    s = re.sub(r"\s+", " ", text.strip().strip("\u200b\ufeff")).strip()
+    # few texts are long; those are not kept
+    return (_parse if len(s) <= 100 else _parse.__wrapped__)(s, day_first)
+
+
+@lru_cache(100_000)
+def _parse(s: str, day_first: bool) -> Parsed:
+    if not s:
         return _NOTHING
     if len(s) == 10 and s[4] == s[7] == "-" and s.isascii():
         # most texts; what is no date in this form is none in another
@@ -117,7 +122,7 @@ def parse_moment(text: str, day_first: bool) -> Parsed:
     if m := _COMPACT.fullmatch(s):
         s = f"{m[1]}-{m[2]}-{m[3]}T{m[4]}:{m[5]}:{m[6]}{m[7]}"
     t = _TIME.search(s) if ":" in s else None
-    d = _ORDINAL.sub("", _WEEKDAY.sub("", re.sub(r"\s+", " ", (s[: t.start()] if t else s).lower())))
+    d = _ORDINAL.sub("", _WEEKDAY.sub("", (s[: t.start()] if t else s).lower()))
     date = _as_date(d, day_first)
     if not t:
         return (date.isoformat(), None, None, None, None) if date else (None, _as_month(d), None, None, None)

@@ -51,3 +51,11 @@ def test_intervals_agree_with_zone_rules(zone):
         hit = table[(table.lo <= local) & (local < table.hi) & (table.year == dt.datetime.fromtimestamp(local, dt.timezone.utc).year)]
         assert off in set(hit["off"])
         assert len(hit) <= 2
+
+
+def test_long_texts_are_read():
+    gap = " " * 200
+    assert parse_moment(f"March{gap}5,{gap}2027", False)[0] == "2027-03-05"
+    assert parse_moment(f"2027-03-05{gap}10:00 UTC", False)[2:4] == (1804240800, 0)
+    zone = "a/" + "b" * 100
+    assert parse_moment(f"2027-03-05 10:00 {zone}", False)[4] == zone
