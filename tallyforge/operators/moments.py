@@ -5,11 +5,12 @@ month, or into a local time with a zone (as built-in expressions the grammar out
 JVM's method size, and with it whole-stage code generation). A zone is an offset, a fixed abbreviation, or a zone name; named zones are resolved by joining the
 local time to the zone's offset intervals, exploded by year so that the join is an equi-join
 with a short residual: two matching intervals mean an ambiguous time, none a nonexistent one,
-one gives the offset. The intervals come from the tz database, whose size is bounded.
+one gives the offset. The intervals come from the tz database, whose size is bounded; the
+few local times of years outside ``YEARS`` are resolved by the parser, one by one.
 
 Defined results: null, blank and other texts, and impossible dates, give no row; an
-ambiguous or nonexistent local time gives a row with that ``status`` and no value; years
-outside ``YEARS`` have no intervals and count as nonexistent.
+ambiguous or nonexistent local time gives a row with that ``status`` and no value, in any
+year from 1 to 9999; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -55,6 +56,9 @@ _Y_NAME = re.compile(r"(\d{4})[-. ,]+([a-z]+)\.?")
 
 Parsed = tuple[str | None, str | None, int | None, int | None, str | None]  # date, month, local, offset, zone
 _NOTHING: Parsed = (None, None, None, None, None)
+#: Most texts; built-in expressions read them.
+_PLAIN = r"^\d{4}-\d{2}-\d{2}$"
+_EPOCH = dt.datetime(1970, 1, 1)
 
 
 def _year(text: str) -> int:
@@ -144,17 +148,50 @@ def _parse(s: str, day_first: bool) -> Parsed:
     return None, None, local, None, zone
 
 
+def offsets_at(local: int, zone: str) -> list[int]:
+    """The offsets under which a zone's clocks show ``local``: none, one, or two."""
+    from zoneinfo import ZoneInfo
+
+    try:
+        z = ZoneInfo(zone)
+        at = _EPOCH + dt.timedelta(seconds=local)
+        out = set()
+        for fold in (0, 1):
+            off = at.replace(tzinfo=z, fold=fold).utcoffset()
+            back = (at - off).replace(tzinfo=dt.timezone.utc).astimezone(z)
+            if back.replace(tzinfo=None, fold=0) == at:
+                out.add(int(off.total_seconds()))
+        return sorted(out)
+    except Exception:  # no such zone, or the edge of the calendar
+        return []
+
+
+_FIRST, _LAST = (int((dt.datetime(y, 1, 1) - _EPOCH).total_seconds()) for y in (YEARS[0], YEARS[1] + 1))
+
+
+def _resolved(text: str, day_first: bool, home_zone: str | None) -> tuple:
+    """``parse_moment``, the zone settled, and the number of offsets where the year has no intervals."""
+    date, month, local, offset, zone = parse_moment(text, day_first)
+    far = None
+    if zone == "":
+        zone = home_zone
+    if local is not None and offset is None and not _FIRST <= local < _LAST:
+        hits = offsets_at(local, zone or "")
+        offset, zone, far = (hits[0] if len(hits) == 1 else None), None, len(hits)
+    return date, month, local, offset, zone, far
+
+
 @F.pandas_udf(
     T.StructType(
         [T.StructField(c, T.StringType()) for c in ("date", "month")]
         + [T.StructField(c, T.LongType()) for c in ("local", "offset")]
-        + [T.StructField("zone", T.StringType())]
+        + [T.StructField("zone", T.StringType()), T.StructField("far", T.LongType())]
     )
 )
-def _parsed(text: pd.Series, day_first: pd.Series) -> pd.DataFrame:
-    rows = [parse_moment(t, bool(d)) if isinstance(t, str) else _NOTHING for t, d in zip(text, day_first)]
-    out = pd.DataFrame(rows, columns=["date", "month", "local", "offset", "zone"])
-    return out.astype({"local": "Int64", "offset": "Int64"})
+def _parsed(text: pd.Series, day_first: pd.Series, home_zone: pd.Series) -> pd.DataFrame:
+    rows = [_resolved(t, bool(d), z) if isinstance(t, str) else (*_NOTHING, None) for t, d, z in zip(text, day_first, home_zone)]
+    out = pd.DataFrame(rows, columns=["date", "month", "local", "offset", "zone", "far"])
+    return out.astype({"local": "Int64", "offset": "Int64", "far": "Int64"})
 
 
 def zone_intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,31 +233,59 @@ def zone_intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["zone", "year", "lo", "hi", "off"])
 
 
+def _zones(df: DataFrame, texts: list[str], home_zone: str) -> DataFrame:
+    """The zones that texts may name, and the home zones: names that are none have no intervals.
+
+    Told without the parser, so that it reads each text once.
+    """
+    named = [F.when(F.col(c).contains(":"), F.regexp_extract(F.col(c), r"(?U)([A-Za-z]+(?:/[A-Za-z_+\-0-9]+)+|[A-Za-z]{1,5})\W*$", 1)) for c in texts]
+    z = df.select(F.explode(F.array(F.col(home_zone), *named)).alias("zone"))
+    return z.where("zone <> ''").distinct()
+
+
+def with_moments(df: DataFrame, texts: list[str], day_first: str, home_zone: str) -> DataFrame:
+    """``df`` with a struct (val, status) beside each column of ``texts``, named ``<column>_at``.
+
+    It is null where the text states no date, month or moment.
+    """
+    # only zone names of the tz database give intervals: at most ~600 zones x ~130 years x 3
+    spans = _zones(df, texts, home_zone).mapInPandas(zone_intervals, "zone string, year int, lo bigint, hi bigint, off bigint")
+    spans = spans.groupBy("zone", "year").agg(F.collect_list(F.struct("lo", "hi", "off")).alias("spans"))
+    out = df
+    for c in texts:
+        plain = F.col(c).rlike(_PLAIN)
+        out = out.withColumn(f"_p_{c}", _parsed(F.when(~plain, F.col(c)), F.col(day_first), F.col(home_zone)))
+    for c in texts:
+        p = lambda k, c=c: F.col(f"_p_{c}")[k]
+        s = spans.select(F.col("zone").alias(f"_z_{c}"), F.col("year").alias(f"_y_{c}"), F.col("spans").alias(f"_s_{c}"))
+        out = out.join(F.broadcast(s), (p("zone") == F.col(f"_z_{c}")) & (F.year(F.timestamp_seconds(p("local"))) == F.col(f"_y_{c}")), "left")
+        local = p("local")
+        hits = F.filter(f"_s_{c}", lambda x: (local >= x["lo"]) & (local < x["hi"]))  # noqa: B023
+        hits = F.when(p("local").isNotNull() & p("zone").isNotNull(), F.coalesce(hits, F.array().cast("array<struct<lo:bigint,hi:bigint,off:bigint>>")))
+        out = out.withColumn(f"_h_{c}", hits)
+        n = F.coalesce(p("far"), F.size(F.col(f"_h_{c}")).cast("bigint"))
+        n = F.when(p("far").isNotNull() | F.col(f"_h_{c}").isNotNull(), n)
+        off = F.when(F.col(f"_h_{c}").isNull(), p("offset")).when(n == 1, F.get(F.col(f"_h_{c}"), F.lit(0))["off"])
+        moment = F.date_format(F.timestamp_seconds(p("local") - off), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        plain = F.when(F.col(c).rlike(_PLAIN), F.when(F.col(c).try_cast("date").isNotNull() & ~F.col(c).startswith("0000"), F.col(c)))
+        date = F.coalesce(plain, p("date"))
+        status = (
+            F.when(date.isNotNull(), "date")
+            .when(p("month").isNotNull(), "month")
+            .when(n.isNull() | (n == 1), "moment")
+            .when(n > 1, "ambiguous")
+            .otherwise("nonexistent")
+        )
+        stated = date.isNotNull() | p("month").isNotNull() | p("local").isNotNull()
+        out = out.withColumn(f"{c}_at", F.when(stated, F.struct(F.coalesce(date, p("month"), moment).alias("val"), status.alias("status"))))
+    return out.drop(*[f"_{k}_{c}" for c in texts for k in "pzysh"])
+
+
 def normalise_moments(values: DataFrame) -> DataFrame:
     """(src, row_id, field, text, val, status) of ``values`` (src, row_id, field, text, day_first, home_zone).
 
     ``status`` is ``date``, ``month``, ``moment``, ``ambiguous`` or ``nonexistent``.
     """
     v = values.select("src", "row_id", "field", "text", "day_first", "home_zone").where(F.col("text").isNotNull())
-    p = v.withColumn("_p", _parsed("text", "day_first"))
-    zone = F.when(F.col("_p.zone") == "", F.col("home_zone")).otherwise(F.col("_p.zone"))
-    p = p.select("src", "row_id", "field", "text", "_p.date", "_p.month", "_p.local", "_p.offset", zone.alias("zone"))
-    p = p.where(F.col("date").isNotNull() | F.col("month").isNotNull() | F.col("local").isNotNull())
-    # only zone names of the tz database give intervals: at most ~600 zones x ~130 years x 3
-    zones = p.where(F.col("zone").isNotNull()).select("zone").distinct()
-    spans = zones.mapInPandas(zone_intervals, "zone string, year int, lo bigint, hi bigint, off bigint")
-    spans = spans.groupBy(F.col("zone").alias("z"), F.col("year").alias("yr")).agg(F.collect_list(F.struct("lo", "hi", "off")).alias("spans"))
-    p = p.withColumn("yr", F.when(F.col("zone").isNotNull(), F.year(F.timestamp_seconds("local"))))
-    j = p.join(F.broadcast(spans), (p["zone"] == spans["z"]) & (p["yr"] == spans["yr"]), "left")
-    hits = F.filter("spans", lambda s: (F.col("local") >= s["lo"]) & (F.col("local") < s["hi"]))
-    j = j.withColumn("hits", F.when(F.col("zone").isNotNull(), F.coalesce(hits, F.array().cast("array<struct<lo:bigint,hi:bigint,off:bigint>>"))))
-    off = F.when(F.col("hits").isNull(), F.col("offset")).when(F.size("hits") == 1, F.get(F.col("hits"), F.lit(0))["off"])
-    moment = F.date_format(F.timestamp_seconds(F.col("local") - off), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    status = (
-        F.when(F.col("date").isNotNull(), "date")
-        .when(F.col("month").isNotNull(), "month")
-        .when(F.col("hits").isNull() | (F.size("hits") == 1), "moment")
-        .when(F.size("hits") > 1, "ambiguous")
-        .otherwise("nonexistent")
-    )
-    return j.select("src", "row_id", "field", "text", F.coalesce("date", "month", moment).alias("val"), status.alias("status"))
+    m = with_moments(v, ["text"], "day_first", "home_zone").where(F.col("text_at").isNotNull())
+    return m.select("src", "row_id", "field", "text", "text_at.val", "text_at.status")

@@ -78,8 +78,10 @@ def p3_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unit_edges(spark: SparkSession, sf_dir: str) -> list[tuple]:
     """The conversion graph: scales of each currency, and each currency's dollar rate by date."""
     scales = (0.01, 1.0, 1e3, 1e6, 1e9)
-    # fx_rate is a fixed table (64 rows); convert_units checks the bound
-    rates = table(spark, sf_dir, "fx_rate").limit(MAX_EDGES).collect()
+    # fx_rate is a fixed table (64 rows); what is beyond the bound raises, it is not cut off
+    rates = table(spark, sf_dir, "fx_rate").limit(MAX_EDGES + 1).collect()
+    if len(rates) > MAX_EDGES:
+        raise ValueError(f"fx_rate has more than {MAX_EDGES} rows")
     edges = [(f"{c}*{s:g}", f"{c}*1", s, 0.0, None) for c in {r.ccy for r in rates} for s in scales if s != 1]
     return edges + [(f"{r.ccy}*1", "USD*1", r.usd_per_unit, 0.0, str(r.rate_date)) for r in rates if r.ccy != "USD"]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,17 +16,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where that is unset (tests on one machine) a temporary folder is used.
+    A cluster that names none is refused, as a folder of one machine would lose or mix up data
+    there; only a session of one machine may set its own (``local_session`` does).
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         where = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="ckpt"))
+        if not where:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+            where = tempfile.mkdtemp(prefix="ckpt")
+            atexit.register(shutil.rmtree, where, True)
+        sc.setCheckpointDir(where)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -71,12 +83,26 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a compressed table beside the checkpoints and read it back.
 
     Cuts the lineage as ``checkpointed`` does, in a fraction of the disk, for wide rows that are
-    read several times. The table stays until the shared folder is emptied.
+    read several times. The session's tables are removed when its driver ends.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
-    path = f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    if not _TABLES:
+        atexit.register(drop_stored)
+    _TABLES.append((spark, path))
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_TABLES: list[tuple[SparkSession, str]] = []
+
+
+def drop_stored() -> None:
+    """Remove the tables of ``stored``; frames that still read them fail from then on."""
+    while _TABLES:
+        spark, path = _TABLES.pop()
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session has ended; a folder of one machine can still be removed
+            shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)

@@ -4,7 +4,7 @@ from zoneinfo import ZoneInfo
 import pandas as pd
 import pytest
 
-from tallyforge.operators.moments import normalise_moments, parse_moment, zone_intervals
+from tallyforge.operators.moments import normalise_moments, offsets_at, parse_moment, with_moments, zone_intervals
 
 CASES = [
     ("11 July 2027", False, "date", "2027-07-11"), ("July 11th, 2027", False, "date", "2027-07-11"), ("20270711", False, "date", "2027-07-11"),
@@ -59,3 +59,26 @@ def test_long_texts_are_read():
     assert parse_moment(f"2027-03-05{gap}10:00 UTC", False)[2:4] == (1804240800, 0)
     zone = "a/" + "b" * 100
     assert parse_moment(f"2027-03-05 10:00 {zone}", False)[4] == zone
+
+
+def test_years_without_intervals(spark):
+    texts = ["1969-07-01 12:00:00", "2101-07-01 12:00:00", "2101-03-13 02:30:00", "2101-11-06 01:30:00", "1969-07-01 12:00:00 Europe/London", "0001-01-01 00:00:00", "9999-12-31 23:59:59", "2024-02-30", "0000-01-01", "2024-02-29"]
+    df = spark.createDataFrame([("t", i, "f", t, False, "America/New_York", "c", "c", "c", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.row_id: (r.status, r.val) for r in normalise_moments(df).collect()}
+    assert got[0] == ("moment", "1969-07-01T16:00:00Z") and got[1] == ("moment", "2101-07-01T16:00:00Z")
+    assert got[2] == ("nonexistent", None) and got[3] == ("ambiguous", None) and got[4] == ("moment", "1969-07-01T11:00:00Z")
+    assert {5, 6} <= set(got) and 7 not in got and 8 not in got and got[9] == ("date", "2024-02-29")
+
+
+def test_offsets_at_agree_with_intervals():
+    table = next(zone_intervals(iter([pd.DataFrame({"zone": ["America/New_York"]})])))
+    for local in range(1_700_000_000, 1_735_000_000, 1800):
+        hit = table[(table.lo <= local) & (local < table.hi)]
+        assert offsets_at(local, "America/New_York") == sorted(set(hit["off"]))
+
+
+def test_columns_keep_rows_and_clashing_names(spark):
+    df = spark.createDataFrame([(1, "5 Mar 2027", None, True, "Europe/London", "x"), (2, None, "2027-07-01 12:00:00", None, None, "y")], "id int, a string, b string, day_first boolean, home_zone string, val string")
+    got = {r.id: (r.a_at, r.b_at, r.val) for r in with_moments(df, ["a", "b"], "day_first", "home_zone").collect()}
+    assert got[1][0].val == "2027-03-05" and got[1][1] is None and got[1][2] == "x"
+    assert got[2][0] is None and (got[2][1].status, got[2][1].val) == ("moment", None)
