@@ -1,20 +1,29 @@
 """Free wordings to the closest entry of a reference list (problem 4).
 
-Distinct wordings are reduced to a plain form (case, accents, marks, look-alike digits and
-word abbreviations undone). Reference entries, their known synonyms, the rotations of their
-words and their unambiguous beginnings make the reference forms; they are cut into shards of
-bounded size, each a BK-tree under the Levenshtein metric that is broadcast to all tasks.
-Every tree returns all forms within the threshold, by triangle-inequality pruning; the
-shards' winners then merge to the closest entry of each wording. A wording that no form is
-near to is reported with entry 0.
-
-Defined results: a null or blank wording gives no row; ties between entries at the same
-distance go to the whole form before a beginning, then to the smaller entry number; an empty
-reference maps every wording to 0; only the columns named are read.
+Distinct wordings are reduced to plain words (case, accents, marks and look-alike digits
+undone, abbreviations written out). Two searches then run over BK-trees under the Levenshtein
+metric, which return every form within the threshold by triangle-inequality pruning:
+
+1. Whole wordings against the entries' labels, their words in any rotation, and their
+   unambiguous beginnings.
+2. Where none is near, word by word: each word of the wording against the words of every
+   entry's label and of its note, the text that says what the entry covers. The words found
+   are weighed by how few entries have them; a word that no entry has weighs against all.
+   The entry of the largest weight is meant if it explains more of the wording than is left.
+
+The reference is cut by entries into shards of bounded size, each broadcast and searched
+apart; word weights are those of the whole reference, and the shards' winners merge in the
+order in which one tree would choose, so that the cut changes nothing. Only distinct wordings
+are searched. What no entry is near to is reported with entry 0.
+
+Defined results: a null wording gives no row, one without a letter or digit is entry 0; ties go
+to the smaller entry number; an empty reference maps every wording to 0; entries without a note
+have their label only; only the columns named are read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -23,16 +32,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.metric import BKTree
+from tallyforge.llm.metric import BKTree, levenshtein
+from tallyforge.session import spread, stored
 
-#: Forms in one tree; a larger reference is cut into more shards.
-MAX_SHARD_FORMS = 20_000
+#: Entries in one shard.
+MAX_SHARD_ENTRIES = 2_000
 
-# Abbreviations of single words.
+# Abbreviations, and other forms of a word that no ending tells.
 ABBREVIATIONS = {
     "ln": "loan", "rev": "revolver", "dlyd": "delayed", "com": "common", "stk": "stock", "pfd": "preferred",
     "pref": "preferred", "wrnt": "warrant", "wts": "warrants", "sr": "senior", "sub": "subordinated", "nt": "note",
-    "nts": "notes", "mezz": "mezzanine", "pship": "partnership", "mbrshp": "membership", "int": "interest",
+    "nts": "notes", "mezz": "mezzanine", "pship": "partnership", "pshp": "partnership", "mbrshp": "membership", "int": "interest",
     "unsec": "unsecured", "struct": "structured", "tr": "tranche", "fin": "finance", "transp": "transportation",
     "equip": "equipment", "distrib": "distribution", "med": "medical", "dev": "devices", "pkg": "packaging",
     "matls": "materials", "prod": "products", "prods": "products", "prodn": "production", "mach": "machinery",
@@ -42,70 +52,42 @@ ABBREVIATIONS = {
     "prvdrs": "providers", "info": "information", "tech": "technology", "consltg": "consulting",
     "prof": "professional", "bldg": "building", "facil": "facilities", "auto": "automotive",
     "telecom": "telecommunications", "telecomms": "telecommunications", "pharma": "pharmaceuticals",
+    "hr": "human resources", "tl": "term loan", "ddtl": "delayed draw term loan", "rcf": "revolving credit facility",
+    "1st": "first", "2nd": "second", "1l": "first lien", "2l": "second lien", "lp": "limited partnership",
+    "llc": "limited liability company", "healthcare": "health care",
+    "lending": "loans", "lender": "loan", "lenders": "loans",
 }
-
-# Wordings that mean an entry, beside its own label.
-SYNONYMS = {
-    "Application Software": ("business software", "saas vendors", "hosted software", "software hosted"),
-    "Information Technology Consulting": ("it consulting", "systems integration", "managed it services"),
-    "Health Care Providers": ("healthcare providers", "medical care providers", "clinics physician practices", "home care providers"),
-    "Medical Devices": ("medical devices diagnostics", "medical instruments", "diagnostic devices"),
-    "Pharmaceuticals": ("drug makers", "biotechnology drugs", "contract drug development"),
-    "Insurance Brokerage": ("insurance brokers", "insurance agents", "claims administrators"),
-    "Consumer Finance": ("household lending", "payments for households", "consumer lenders", "consumer lending"),
-    "Aerospace Components": ("aircraft parts", "aircraft repair", "aerospace defense parts"),
-    "Building Products": ("building materials", "construction materials", "construction fittings"),
-    "Industrial Machinery": ("factory machines", "pumps valves", "machinery industrial"),
-    "Freight Transportation": ("freight logistics", "trucking logistics", "cargo transport", "cargo transportation"),
-    "Education Services": ("educational services", "schools training", "tutoring providers"),
-    "Restaurants": ("restaurant franchises", "caterers restaurants", "franchised food outlets"),
-    "Packaged Food": ("food makers", "snacks drinks", "food packaged"),
-    "Household Products": ("goods for the home", "home cleaning goods", "personal care products"),
-    "Automotive Parts": ("vehicle parts", "collision repair", "car washes"),
-    "Specialty Chemicals": ("industrial chemicals", "coatings additives", "chemicals specialty"),
-    "Packaging Materials": ("packaging", "boxes bottles", "labels packaging"),
-    "Telecommunications": ("fiber wireless towers", "telephone carriers"),
-    "Media Production": ("media content", "film broadcast", "publishing content"),
-    "Professional Staffing": ("staffing services", "staffing payroll", "hr outsourcing"),
-    "Environmental Services": ("waste recycling", "pollution control", "environmental cleanup"),
-    "Oilfield Equipment": ("oil gas equipment", "oilfield services", "well services"),
-    "Electric Utilities": ("power generation", "grid services", "utilities electric"),
-    "Real Estate Services": ("property management", "property brokerage", "real estate appraisal"),
-    "Leisure Facilities": ("leisure recreation", "gyms resorts", "recreation parks"),
-    "Apparel Retail": ("clothing stores", "footwear brands", "retail apparel"),
-    "Food Distribution": ("wholesale food", "food wholesalers", "distribution of food"),
-    "First Lien Term Loan": ("1l term loan", "1st lien tl", "1st lien term loan", "term loan 1st lien", "senior secured term loan first lien", "term loan first lien"),
-    "First Lien Revolver": ("1l revolver", "1st lien rcf", "1st lien revolver", "revolver 1st lien", "revolving credit line first lien", "revolver first lien"),
-    "First Lien Delayed Draw Loan": ("1l delayed draw", "1st lien ddtl", "1st lien delayed draw loan", "ddtl 1st lien", "delayed draw tl first lien"),
-    "Unitranche Loan": ("one stop", "one stop loan", "unitranche facility", "unitranche facilities", "unitranche", "uni tranche"),
-    "Second Lien Loan": ("2l loan", "2nd lien tl", "2nd lien loan", "loan 2nd lien", "second lien secured debt"),
-    "Senior Subordinated Note": ("senior subordinated debt", "subordinated notes senior", "senior subordinated notes"),
-    "Mezzanine Note": ("mezzanine loan", "mezzanine debt", "note mezzanine"),
-    "Senior Unsecured Note": ("senior unsecured", "senior unsecured bond", "unsecured debt senior", "unsecured senior notes"),
-    "Preferred Stock": ("preferred shares", "preferred equity", "preferred units", "series a preferred"),
-    "Common Stock": ("ordinary shares", "common shares", "common equity", "class b common"),
-    "Partnership Interest": ("lp units", "l p interest", "lp interest", "limited partnership units", "partnership units"),
-    "Membership Interest": ("llc units", "llc interest", "member interest", "membership units"),
-    "Warrant": ("warrants", "warrants to buy shares", "warrants equity", "stock purchase warrant"),
-    "Structured Credit Tranche": ("clo equity", "clo tranche", "loan pool tranche", "structured note"),
-}
+# Words that tell no entries apart.
+COMMON_WORDS = set("a an and as any also by called for from in into is of on or other others such that the their to used with including class series".split())
 
 _TAIL = re.compile(r"\s*[(\[](?:usd|eur|euro|€|gbp|£|sterling|cad|aud|sek|nok|chf|(?:[a-z]+ )?(?:dollar|kron[ae]|franc|pound))[^)\]]*[)\]]\s*$")
 _MARKS = re.compile(r"(?:\s*(?:\((?:\d{1,2}[a-z]?|[a-z])\)|\[(?:\d{1,2}|[a-z])\]|[*†‡#.]+|(?<=\s)\d{1,2}))+\s*$")
 
+#: Weights of a word of a label, and of a note; of a word that other entries have; of one that none has.
+IN_LABEL, IN_NOTE, ELSEWHERE, UNKNOWN = 1.0, 0.8, 0.5, 1.25
 
-def plain_form(text: str) -> str:
-    """``text`` without what does not tell entries apart."""
+#: Words decide if the entry's weight exceeds what is left, if its whole label is said, or half of it and mostly.
+WHOLE_LABEL, HALF_LABEL, MOSTLY = 0.999, 0.5, 0.6
+
+
+def words_of(text: str) -> list[str]:
+    """The plain words of ``text``, abbreviations as they are."""
     s = unicodedata.normalize("NFKD", text)
     s = "".join(c for c in s if not unicodedata.combining(c)).lower()
     s = _MARKS.sub("", _TAIL.sub("", " ".join(s.split())))
+    s = re.sub(r"\bl[. ]{1,2}l[. ]{1,2}c\b", "llc", re.sub(r"\bl[. ]{1,2}p\b", "lp", s))
     out = []
     for w in re.findall(r"[a-z0-9]+", s.replace("'", "")):
-        if len(w) > 2 and not re.fullmatch(r"\d+(?:st|nd|rd|th)?", w):
-            w = w.replace("0", "o").replace("1", "l") if not re.fullmatch(r"1st\w?|2nd\w?|1l", w) else w
+        if len(w) > 2 and not re.fullmatch(r"\d+(?:st|nd|rd|th)?|1st\w?|2nd\w?", w):
+            w = w.replace("0", "o").replace("1", "l")
         if w != "and" and not (w.isdecimal() and len(w) < 3):
-            out.append(ABBREVIATIONS.get(w, w))
-    return " ".join(out)
+            out.append("to" if w == "t0" else w)
+    return out
+
+
+def plain_form(text: str) -> str:
+    """``text`` without what does not tell entries apart."""
+    return " ".join(ABBREVIATIONS.get(w, w) for w in words_of(text))
 
 
 def threshold(form: str) -> int:
@@ -114,75 +96,232 @@ def threshold(form: str) -> int:
     return 0 if n < 4 else 1 if n < 6 else 2 if n < 9 else 3 if n < 20 else 4
 
 
-def _spellings(phrase: str) -> set[str]:
-    """``phrase`` and what it becomes with words abbreviated."""
-    short: dict[str, list[str]] = {}
-    for a, w in ABBREVIATIONS.items():
-        short.setdefault(w, []).append(a)
-    out = [[]]
-    for w in plain_form(phrase).split():
-        out = [[*x, y] for x in out for y in (w, *short.get(w, ()))][:64]
-    return {" ".join(x) for x in out}
+def _stem(word: str) -> str:
+    """``word`` without the endings of number and kind."""
+    for end in ("ations", "ation", "ional", "ions", "ion", "ials", "ial", "ings", "ing", "ies", "ers", "ist", "er", "ed", "es", "al", "s", "y", "e"):
+        if word.endswith(end) and len(word) - len(end) >= 4:
+            return word[: -len(end)]
+    return word
 
 
-def reference_forms(entries: list[tuple[int, str, str]], synonyms: dict[str, tuple[str, ...]]) -> list[tuple[str, str, int, int]]:
-    """(kind, form, entry, rank) for entries (id, kind, label): rank 0 whole forms, 1 beginnings."""
-    whole: dict[tuple[str, str], set[int]] = {}
-    begin: dict[tuple[str, str], set[int]] = {}
+def _swapped(a: str, b: str) -> bool:
+    """Whether two words differ by neighbours that changed places."""
+    return len(a) == len(b) and sorted(a) == sorted(b) and levenshtein(a, b) <= 2
+
+
+class _Shard:
+    """Trees over the forms of some entries, and over the words of the whole reference."""
+
+    def __init__(self, rows: list[tuple], weights: dict[tuple[str, str], tuple[float, float]]) -> None:
+        self.weights = weights
+        self.memo: dict[tuple[str, str, bool], dict[str, float]] = {}
+        whole: dict[tuple[str, str], list[int]] = {}
+        begin: dict[tuple[str, str], list[int]] = {}
+        self.has: dict[tuple[str, str], dict[int, float]] = {}
+        self.labels: dict[int, list[str]] = {}
+        for kind, entry, forms, beginnings, words in rows:
+            for f in forms:
+                whole.setdefault((kind, f), []).append(entry)
+            for f in beginnings:
+                begin.setdefault((kind, f), []).append(entry)
+            for w, x in words:
+                self.has.setdefault((kind, w), {})[entry] = x
+            self.labels[entry] = [w for w, x in words if x == IN_LABEL]
+        self.forms = (whole, begin)
+        self.trees = [{k: BKTree([f for kk, f in d if kk == k]) for k in {k for k, _ in d}} for d in self.forms]
+        self.short = BKTree([a for a in ABBREVIATIONS if len(a) > 2])
+        self.stems: dict[str, dict[str, list[str]]] = {}
+        for k, w in weights:
+            self.stems.setdefault(k, {}).setdefault(_stem(w), []).append(w)
+        self.words = {kind: BKTree([w for k, w in weights if k == kind]) for kind in self.stems}
+        self.roots = {k: BKTree(list(d)) for k, d in self.stems.items()}
+        self.unknown = {kind: UNKNOWN * max(x for (k, _), (x, _) in weights.items() if k == kind) for kind in self.stems}
+
+    def most(self, kind: str, word: str, last: bool) -> float:
+        """The largest weight that ``word`` has in any entry of the reference."""
+        return max((y * self.weights[kind, w][0] * self.weights[kind, w][1] for w, y in self.near(kind, word, last).items()), default=0.0)
+
+    def expand(self, kind: str, words: list[str]) -> list[str]:
+        """``words`` with abbreviations, perhaps mistyped or cut short, written out, and split words joined."""
+        out = []
+        for k, w in enumerate(words):
+            if (kind, w) in self.weights and w not in ("1st", "2nd"):
+                out.append(w)
+                continue
+            if w not in ABBREVIATIONS and len(w) >= 4 and kind in self.words and not self.near(kind, w, False):
+                near = {a for d, a in self.short.within(w, 2) if (d == 1 or _swapped(a, w)) and (len(a) > 3 or (len(w) == 4 and set(a) <= set(w)))}
+                near |= {a for a in ABBREVIATIONS if k == len(words) - 1 and a.startswith(w)}
+                if len({ABBREVIATIONS[a].rstrip("s") for a in near}) == 1:
+                    w = min(near)
+            out += ABBREVIATIONS.get(w, w).split()
+        k = 0
+        while kind in self.words and k + 1 < len(out):
+            both = out[k] + out[k + 1]
+            if len(both) >= 6 and not self.near(kind, out[k], False) and self.most(kind, both, False) > self.most(kind, out[k + 1], k + 2 == len(out)):
+                out[k : k + 2] = [both]
+            k += 1
+        return out
+
+    def by_form(self, kind: str, form: str) -> tuple | None:
+        """The least (inexact, rank, distance, entry) of forms within the threshold."""
+        hits = []
+        for rank, forms in enumerate(self.forms):
+            for d, f in self.trees[rank][kind].within(form, max(0, threshold(form) - rank)) if kind in self.trees[rank] else ():
+                if d <= threshold(f):
+                    hits.append((d > 0, rank, d, min(forms[kind, f])))
+        return min(hits, default=None)
+
+    def near(self, kind: str, word: str, last: bool) -> dict[str, float]:
+        """Words of the reference that are ``word`` or near to it, with their likeness."""
+        if (kind, word, last) in self.memo:
+            return self.memo[kind, word, last]
+
+        def around(tree: BKTree, w: str) -> dict[str, float]:
+            n = len(w)
+            found = tree.within(w, 0 if n < 4 else 2)
+            return {x: 1 - 0.1 * d for d, x in found if d <= (1 if n < 7 else 2) or _swapped(x, w)}
+
+        hits = around(self.words[kind], word)
+        for root, likeness in around(self.roots[kind], _stem(word)).items():
+            for w in self.stems[kind][root]:
+                hits[w] = max(hits.get(w, 0), likeness - 0.05)
+        if len(word) >= 4 or (last and len(word) == 3):
+            # a word cut short, or a longer one of the same beginning
+            for w in (w for ws in self.stems[kind].values() for w in ws):
+                if w.startswith(word) and w not in hits:
+                    hits[w] = 0.9 if last else 0.8
+        self.memo[kind, word, last] = hits
+        return hits
+
+    def by_words(self, kind: str, words: list[str]) -> tuple[float, float, int, bool] | None:
+        """(weight, share of its label, -entry, meant) of the entry of most weight."""
+        told = [w for w in words if w not in COMMON_WORDS and len(w) > 1]
+        if kind not in self.words or not told:
+            return None
+        got: dict[int, list[float]] = {}
+        for k, w in enumerate(told):
+            for x, likeness in self.near(kind, w, k == len(told) - 1).items():
+                for entry, where in self.has.get((kind, x), {}).items():
+                    own = got.setdefault(entry, [0.0] * len(told))
+                    own[k] = max(own[k], likeness * where * self.weights[kind, x][0])
+        best = None
+        for entry, own in got.items():
+            said = sum(self.weights[kind, w][0] for w in self.labels[entry] if any(self.same(w, t) for t in told))
+            label = round(said / (sum(self.weights[kind, w][0] for w in self.labels[entry]) or 1.0), 9)
+            found = (round(sum(own), 9), label, -entry)
+            if best is None or found > best:
+                best, mine = found, own
+        if best is None:
+            return None
+        most = [self.most(kind, w, k == len(told) - 1) for k, w in enumerate(told)]
+        left = sum(self.unknown[kind] if m == 0 else ELSEWHERE * m for x, m in zip(mine, most) if x == 0)
+        weight, label, _ = best
+        return (*best, weight > left or label >= WHOLE_LABEL or (label >= HALF_LABEL and weight > MOSTLY * left))
+
+    def same(self, word: str, told: str) -> bool:
+        """Whether a label's word stands in a wording."""
+        return word == told or _stem(word) == _stem(told) or _swapped(word, told) or (len(told) >= 6 and levenshtein(word, told) <= 1)
+
+
+def reference_rows(entries: list[tuple[int, str, str, str | None]]) -> tuple[list[tuple], dict[tuple[str, str], tuple[float, float]]]:
+    """The searchable rows (kind, entry, forms, beginnings, words) of entries (id, kind, label, note).
+
+    With them, of each word of a kind its rarity and the most that any entry makes of it.
+    """
 
     def rotations(words: list[str]) -> list[str]:
         return [" ".join(words[k:] + words[:k]) for k in range(len(words))]
 
-    for i, kind, label in entries:
-        for phrase in (label, *synonyms.get(label, ())):
-            for spelling in _spellings(phrase):
-                for form in rotations(spelling.split()):
-                    whole.setdefault((kind, form), set()).add(i)
-            for form in rotations(plain_form(phrase).split()):
-                for n in range(max(6, -(-len(form) * 11 // 20)), len(form)):
-                    for cut in rotations(form[:n].split()):
-                        begin.setdefault((kind, cut), set()).add(i)
-    out = [(k, f, min(ids), 0) for (k, f), ids in whole.items() if f]
-    return out + [(k, f, min(ids), 1) for (k, f), ids in begin.items() if len(ids) == 1 and (k, f) not in whole]
+    begin: dict[tuple[str, str], set[int]] = {}
+    whole: dict[tuple[str, str], set[int]] = {}
+    words: dict[tuple[int, str], dict[str, float]] = {}
+    for i, kind, label, note in entries:
+        form = plain_form(label)
+        for f in rotations(form.split()):
+            if f:
+                whole.setdefault((kind, f), set()).add(i)
+            for n in range(max(6, -(-len(f) * 11 // 20)), len(f)):
+                for cut in rotations(f[:n].split()):
+                    begin.setdefault((kind, cut), set()).add(i)
+        has = words.setdefault((i, kind), {})
+        # what a note writes in capitals is a name of the thing
+        capitals = {w.lower() for w in re.findall(r"\b[A-Z]{2,}\b", note or "")}
+        for w in words_of(note or ""):
+            for x in ABBREVIATIONS.get(w, w).split():
+                if x not in COMMON_WORDS and len(x) > 1:
+                    has[x] = IN_LABEL if w in capitals else IN_NOTE
+        for w in form.split():
+            if w not in COMMON_WORDS:
+                has[w] = IN_LABEL
+    count: dict[tuple[str, str], int] = {}
+    per: dict[str, int] = {}
+    for (_, kind), has in words.items():
+        per[kind] = per.get(kind, 0) + 1
+        for w in {_stem(w) for w in has}:
+            count[kind, w] = count.get((kind, w), 0) + 1
+    weights: dict[tuple[str, str], tuple[float, float]] = {}
+    for (_, kind), has in words.items():
+        for w, x in has.items():
+            weights[kind, w] = (math.log((per[kind] + 1) / count[kind, _stem(w)]), max(x, weights.get((kind, w), (0, 0))[1]))
+    own: dict[int, list[str]] = {}
+    for (k, f), ids in begin.items():
+        if len(ids) == 1 and (k, f) not in whole:
+            own.setdefault(next(iter(ids)), []).append(f)
+    rows = []
+    for i, kind, label, _ in sorted(entries, key=lambda e: e[0]):
+        forms = rotations(plain_form(label).split())
+        rows.append((kind, i, [f for f in forms if f], sorted(own.get(i, [])), sorted(words[i, kind].items())))
+    return rows, weights
+
+
+_FOUND = "kind string, text string, form struct<inexact:boolean,rank:int,d:int,entry:int>, words struct<weight:double,label:double,minus:int,meant:boolean>"
+
+
+def _searching(kept):
+    """Rows (kind, text, form, words) of batches of wordings."""
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard = _Shard(*kept.value)
+        memo: dict[tuple[str, str], tuple] = {}
+        for pdf in batches:
+            out = []
+            for kind, text in zip(pdf["kind"], pdf["text"]):
+                words = words_of(text)
+                at = kind, " ".join(words)
+                if at not in memo:
+                    words = shard.expand(kind, words)
+                    form = shard.by_form(kind, " ".join(words)) if words else None
+                    # a form decides, but for what is near to a beginning only
+                    said = None if not words or (form and form[:2] != (True, 1)) else shard.by_words(kind, words)
+                    memo[at] = (form and dict(zip(("inexact", "rank", "d", "entry"), form)), said and dict(zip(("weight", "label", "minus", "meant"), said)))
+                out.append((kind, text, *memo[at]))
+            yield pd.DataFrame(out, columns=["kind", "text", "form", "words"])
+
+    return search
 
 
-def closest_entries(wordings: DataFrame, forms: list[tuple[str, str, int, int]], max_shard: int = MAX_SHARD_FORMS) -> DataFrame:
+def closest_entries(wordings: DataFrame, entries: list[tuple[int, str, str, str | None]], max_shard: int = MAX_SHARD_ENTRIES) -> DataFrame:
     """(kind, text, entry, distance) for every distinct wording (kind, text); entry 0 means none.
 
-    Whole forms are searched within their threshold; beginnings, which are short of letters
-    already, within one edit less.
+    ``entries`` are (id, kind, label, note), ids above 0. ``distance`` is in edits where a whole
+    form was near, null where words decided. Beginnings, which are short of letters already, are
+    searched within one edit less than labels.
     """
     spark = wordings.sparkSession
-    texts = wordings.select("kind", "text").where(F.col("text").isNotNull()).distinct()
-    shards = [sorted(forms)[i : i + max_shard] for i in range(0, len(forms), max_shard)] or [[]]
+    texts = spread(wordings.select("kind", "text").where(F.col("text").isNotNull()).distinct())
+    rows, weights = reference_rows(entries)
+    shards = [rows[i : i + max_shard] for i in range(0, len(rows), max_shard)] or [[]]
+    if len(shards) > 1:
+        texts = stored(texts)
     found = None
     for shard in shards:
-        kept = spark.sparkContext.broadcast(shard)  # at most max_shard forms
-
-        def search(batches: Iterator[pd.DataFrame], kept=kept) -> Iterator[pd.DataFrame]:
-            entry = {(k, f): (i, r) for k, f, i, r in kept.value}
-            trees = {(k, r): BKTree([f for kk, f, _, rr in kept.value if (kk, rr) == (k, r)]) for k, r in {(k, r) for k, _, _, r in kept.value}}
-            memo: dict[tuple[str, str], tuple[int, int, int]] = {}
-            for pdf in batches:
-                rows = []
-                for kind, text in zip(pdf["kind"], pdf["text"]):
-                    form = plain_form(text)
-                    if (kind, form) not in memo:
-                        hits = []
-                        if (kind, form) in entry:
-                            i, r = entry[kind, form]
-                            hits = [(0, r, i)]
-                        for r in (0, 1):
-                            if not hits and form and (kind, r) in trees:
-                                hits = [(d, r, entry[kind, f][0]) for d, f in trees[kind, r].within(form, max(0, threshold(form) - r)) if d <= threshold(f)]
-                        memo[kind, form] = min(hits, default=(99, 9, 0))
-                    d, r, i = memo[kind, form]
-                    rows.append((kind, text, d, r, i))
-                yield pd.DataFrame(rows, columns=["kind", "text", "d", "r", "entry"])
-
-        part = texts.mapInPandas(search, "kind string, text string, d int, r int, entry int")
+        kept = spark.sparkContext.broadcast((shard, weights))  # at most max_shard entries, and the reference's words
+        part = texts.mapInPandas(_searching(kept), _FOUND)
         found = part if found is None else found.unionByName(part)
-    best = F.min(F.struct("d", "r", "entry")).alias("b")
-    if len(shards) == 1:
-        return found.select("kind", "text", "entry", F.when(F.col("entry") > 0, F.col("d")).alias("distance"))
-    return found.groupBy("kind", "text").agg(best).select("kind", "text", "b.entry", F.when(F.col("b.entry") > 0, F.col("b.d")).alias("distance"))
+    if len(shards) > 1:
+        # as many rows a wording as there are shards
+        found = found.groupBy("kind", "text").agg(F.min("form").alias("form"), F.max("words").alias("words"))
+    sure = F.col("form").isNotNull() & ~(F.col("form.inexact") & (F.col("form.rank") == 1))
+    by_words = ~sure & F.coalesce("words.meant", F.lit(False))
+    entry = F.when(by_words, -F.col("words.minus")).otherwise(F.coalesce("form.entry", F.lit(0)))
+    return found.select("kind", "text", entry.cast("int").alias("entry"), F.when(~by_words, F.col("form.d")).alias("distance"))

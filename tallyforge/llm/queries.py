@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import is_missing
-from tallyforge.llm.canon import SYNONYMS, closest_entries, reference_forms
+from tallyforge.llm.canon import closest_entries
 from tallyforge.llm.leaks import leaked_items, scored_items
 from tallyforge.llm.linkage import Rules, link_records
 from tallyforge.llm.mixing import mix_sources
@@ -30,12 +30,12 @@ LABELLED = (
 )
 
 
-def label_forms(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, int, int]]:
-    """Reference forms of canon_label, a fixed table of 42 rows."""
+def label_entries(spark: SparkSession, sf_dir: str) -> list[tuple[int, str, str, str | None]]:
+    """The entries (id, kind, label, note) of canon_label, a fixed table of 42 rows."""
     rows = table(spark, sf_dir, "canon_label").limit(MAX_ENTRIES + 1).collect()
     if len(rows) > MAX_ENTRIES:
         raise ValueError(f"canon_label has more than {MAX_ENTRIES} rows")
-    return reference_forms([(r.label_id, r.kind, r.label) for r in rows], SYNONYMS)
+    return [(r.label_id, r.kind, r.label, r.note) for r in rows]
 
 
 def _wordings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,14 +53,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canon_label entry that each free wording means; 0 where none fits."""
     label = table(spark, sf_dir, "canon_label").select("kind", F.col("label").alias("text"))
     w = _wordings(spark, sf_dir).join(F.broadcast(label), ["kind", "text"], "left_anti")
-    m = closest_entries(w, label_forms(spark, sf_dir))
+    m = closest_entries(w, label_entries(spark, sf_dir))
     return w.join(m, ["kind", "text"]).select("src", "row_id", "field", F.col("entry").alias("label_id"))
 
 
 def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wordings that mean no entry, with the rows that use them."""
     w = _wordings(spark, sf_dir)
-    m = closest_entries(w, label_forms(spark, sf_dir)).where("entry = 0")
+    m = closest_entries(w, label_entries(spark, sf_dir)).where("entry = 0")
     n = w.groupBy("kind", "text").agg(F.count("*").alias("n"))
     return n.join(m, ["kind", "text"]).select("kind", "text", "n")
 
@@ -118,10 +118,9 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The positions and the HTML rows as records for linkage."""
     names = borrower_classes(spark, sf_dir).select("name", F.concat_ws("|", "own", "line", F.col("numeral").cast("string")).alias("who")).distinct()
     names = broadcast_within(checkpointed(names), MAX_BROADCAST_NAMES)
-    forms = label_forms(spark, sf_dir)
     w = _wordings(spark, sf_dir).where("kind = 'type'")
     label = table(spark, sf_dir, "canon_label").where("kind = 'type'").select(F.col("label").alias("text"), F.col("label_id").alias("exact"))
-    meant = closest_entries(w, forms).join(F.broadcast(label), "text", "left").select("text", F.coalesce("exact", "entry").alias("label"))
+    meant = closest_entries(w, label_entries(spark, sf_dir)).join(F.broadcast(label), "text", "left").select("text", F.coalesce("exact", "entry").alias("label"))
     meant = broadcast_within(checkpointed(meant.where("label > 0")), MAX_BROADCAST_NAMES)
     amounts = stated_amounts(spark, sf_dir).where("field in ('fv', 'fair_value')")
     usd = convert_units(amounts, unit_edges(spark, sf_dir), "USD*1").where("status = 'converted'")
