@@ -79,6 +79,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal out rows that are few and dear each, so that adaptive execution leaves them no single task."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a compressed table beside the checkpoints and read it back.
 
