@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.metric import BKTree, levenshtein
-from tallyforge.session import spread, stored
+from tallyforge.session import dealt, stored
 
 #: Entries in one shard.
 MAX_SHARD_ENTRIES = 2_000
@@ -162,14 +162,27 @@ class _Shard:
             k += 1
         return out
 
-    def by_form(self, kind: str, form: str) -> tuple | None:
-        """The least (inexact, rank, distance, entry) of forms within the threshold."""
-        hits = []
-        for rank, forms in enumerate(self.forms):
-            for d, f in self.trees[rank][kind].within(form, max(0, threshold(form) - rank)) if kind in self.trees[rank] else ():
-                if d <= threshold(f):
-                    hits.append((d > 0, rank, d, min(forms[kind, f])))
-        return min(hits, default=None)
+    def by_form(self, kind: str, form: str, rank: int) -> tuple | None:
+        """The least (inexact, rank, distance, entry) of labels (0) or beginnings (1) within the threshold."""
+        forms, trees = self.forms[rank], self.trees[rank]
+        if (kind, form) in forms:
+            return False, rank, 0, min(forms[kind, form])
+        near = trees[kind].within(form, max(0, threshold(form) - rank)) if kind in trees else ()
+        return min(((True, rank, d, min(forms[kind, f])) for d, f in near if d <= threshold(f)), default=None)
+
+    def search(self, kind: str, words: list[str]) -> tuple[tuple | None, tuple | None]:
+        """What forms and what words say; forms near to a beginning are asked only where neither label nor words tell."""
+        words = self.expand(kind, words)
+        if not words:
+            return None, None
+        form = " ".join(words)
+        hit = self.by_form(kind, form, 0)
+        if hit is None and (kind, form) in self.forms[1]:
+            hit = self.by_form(kind, form, 1)
+        if hit:
+            return hit, None
+        said = self.by_words(kind, words)
+        return (None if said and said[0] else self.by_form(kind, form, 1)), said
 
     def near(self, kind: str, word: str, last: bool) -> dict[str, float]:
         """Words of the reference that are ``word`` or near to it, with their likeness."""
@@ -181,6 +194,11 @@ class _Shard:
             found = tree.within(w, 0 if n < 4 else 2)
             return {x: 1 - 0.1 * d for d, x in found if d <= (1 if n < 7 else 2) or _swapped(x, w)}
 
+        # a word of the reference, in whatever number, needs no search
+        known = [word] if (kind, word) in self.weights else self.stems[kind].get(_stem(word), [])
+        if known:
+            self.memo[kind, word, last] = {w: 0.95 for w in self.stems[kind].get(_stem(word), [])} | {w: 1.0 for w in known if w == word}
+            return self.memo[kind, word, last]
         hits = around(self.words[kind], word)
         for root, likeness in around(self.roots[kind], _stem(word)).items():
             for w in self.stems[kind][root]:
@@ -193,8 +211,8 @@ class _Shard:
         self.memo[kind, word, last] = hits
         return hits
 
-    def by_words(self, kind: str, words: list[str]) -> tuple[float, float, int, bool] | None:
-        """(weight, share of its label, -entry, meant) of the entry of most weight."""
+    def by_words(self, kind: str, words: list[str]) -> tuple[bool, float, float, int] | None:
+        """(meant, weight, share of its label, -entry) of the entry of most weight, among those meant if any is."""
         told = [w for w in words if w not in COMMON_WORDS and len(w) > 1]
         if kind not in self.words or not told:
             return None
@@ -204,19 +222,17 @@ class _Shard:
                 for entry, where in self.has.get((kind, x), {}).items():
                     own = got.setdefault(entry, [0.0] * len(told))
                     own[k] = max(own[k], likeness * where * self.weights[kind, x][0])
+        most = [self.most(kind, w, k == len(told) - 1) for k, w in enumerate(told)]
         best = None
         for entry, own in got.items():
             said = sum(self.weights[kind, w][0] for w in self.labels[entry] if any(self.same(w, t) for t in told))
             label = round(said / (sum(self.weights[kind, w][0] for w in self.labels[entry]) or 1.0), 9)
-            found = (round(sum(own), 9), label, -entry)
-            if best is None or found > best:
-                best, mine = found, own
-        if best is None:
-            return None
-        most = [self.most(kind, w, k == len(told) - 1) for k, w in enumerate(told)]
-        left = sum(self.unknown[kind] if m == 0 else ELSEWHERE * m for x, m in zip(mine, most) if x == 0)
-        weight, label, _ = best
-        return (*best, weight > left or label >= WHOLE_LABEL or (label >= HALF_LABEL and weight > MOSTLY * left))
+            weight = round(sum(own), 9)
+            left = sum(self.unknown[kind] if m == 0 else ELSEWHERE * m for x, m in zip(own, most) if x == 0)
+            meant = weight > left or label >= WHOLE_LABEL or (label >= HALF_LABEL and weight > MOSTLY * left)
+            found = (meant, weight, label, -entry)
+            best = found if best is None or found > best else best
+        return best
 
     def same(self, word: str, told: str) -> bool:
         """Whether a label's word stands in a wording."""
@@ -274,7 +290,7 @@ def reference_rows(entries: list[tuple[int, str, str, str | None]]) -> tuple[lis
     return rows, weights
 
 
-_FOUND = "kind string, text string, form struct<inexact:boolean,rank:int,d:int,entry:int>, words struct<weight:double,label:double,minus:int,meant:boolean>"
+_FOUND = "kind string, text string, form struct<inexact:boolean,rank:int,d:int,entry:int>, words struct<meant:boolean,weight:double,label:double,minus:int>"
 
 
 def _searching(kept):
@@ -289,11 +305,8 @@ def _searching(kept):
                 words = words_of(text)
                 at = kind, " ".join(words)
                 if at not in memo:
-                    words = shard.expand(kind, words)
-                    form = shard.by_form(kind, " ".join(words)) if words else None
-                    # a form decides, but for what is near to a beginning only
-                    said = None if not words or (form and form[:2] != (True, 1)) else shard.by_words(kind, words)
-                    memo[at] = (form and dict(zip(("inexact", "rank", "d", "entry"), form)), said and dict(zip(("weight", "label", "minus", "meant"), said)))
+                    form, said = shard.search(kind, words)
+                    memo[at] = (form and dict(zip(("inexact", "rank", "d", "entry"), form)), said and dict(zip(("meant", "weight", "label", "minus"), said)))
                 out.append((kind, text, *memo[at]))
             yield pd.DataFrame(out, columns=["kind", "text", "form", "words"])
 
@@ -308,7 +321,7 @@ def closest_entries(wordings: DataFrame, entries: list[tuple[int, str, str, str
     searched within one edit less than labels.
     """
     spark = wordings.sparkSession
-    texts = spread(wordings.select("kind", "text").where(F.col("text").isNotNull()).distinct())
+    texts = dealt(wordings.select("kind", "text").where(F.col("text").isNotNull()).distinct())
     rows, weights = reference_rows(entries)
     shards = [rows[i : i + max_shard] for i in range(0, len(rows), max_shard)] or [[]]
     if len(shards) > 1:
