@@ -19,7 +19,7 @@ from collections import defaultdict, deque
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,17 +61,18 @@ def compositions(edges: list[Edge], target: str, tolerance: float = 1e-6) -> lis
     return out
 
 
+def conversion_table(spark: SparkSession, edges: list[Edge], target: str) -> DataFrame:
+    """(unit, on, factor, shift) of each unit's composition to ``target``; ``on`` is null for any date. At most MAX_EDGES x 2 rows."""
+    return spark.createDataFrame(compositions(edges, target), "unit string, on string, factor double, shift double")
+
+
 def convert_units(amounts: DataFrame, edges: list[Edge], target: str) -> DataFrame:
     """(src, row_id, field, unit, val, status) of ``amounts`` (src, row_id, field, amount, unit, at)."""
-    spark = amounts.sparkSession
-    rows = compositions(edges, target)
-    dated = any(r[1] is not None for r in rows)
-    conv = spark.createDataFrame(
-        [(u, d, k, c) for u, d, k, c in rows], "unit string, on string, factor double, shift double"
-    )
+    conv = conversion_table(amounts.sparkSession, edges, target)
+    dated = any(e[4] is not None for e in edges)
     a = amounts.select("src", "row_id", "field", F.col("amount").cast("double").alias("amount"), "unit", F.col("at").cast("string").alias("at")).where(F.col("amount").isNotNull())
     on = (a["unit"] == conv["unit"]) & (a["at"] == conv["on"]) if dated else a["unit"] == conv["unit"]
-    # at most MAX_EDGES x 2 rows
+    # bounded as the table is
     j = a.join(F.broadcast(conv), on, "left")
     val = F.col("amount") * F.col("factor") + F.col("shift")
     return j.select("src", "row_id", "field", a["unit"], val.alias("val"), F.when(F.col("factor").isNull(), "no_path").otherwise("converted").alias("status"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import MISSING_WORDS, is_missing
@@ -53,14 +53,12 @@ def p2_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, row_id, field, text, day_first, home_zone) of the four date columns."""
-    fund = table(spark, sf_dir, "fund").select(F.col("ticker").alias("bdc"), (F.col("locale") != "en_US").alias("day_first"), "home_zone")
     out = None
     for src, key, cols in (("soi_position", "pos_id", ("maturity", "acq")), ("html_row", "row_id", ("maturity_date", "acquisition_date"))):
         t = table(spark, sf_dir, src).select("bdc", F.col(key).alias("row_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in cols])).alias("x"))
         t = t.select(F.lit(src).alias("src"), "bdc", "row_id", "x.field", "x.text")
         out = t if out is None else out.unionByName(t)
-    # fund is a fixed table of 20 rows
-    return out.join(F.broadcast(fund), "bdc", "left").withColumn("day_first", F.coalesce("day_first", F.lit(False)))
+    return out.join(F.broadcast(locales(spark, sf_dir)), "bdc", "left").withColumn("day_first", F.coalesce("day_first", F.lit(False)))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,31 +84,50 @@ def unit_edges(spark: SparkSession, sf_dir: str) -> list[tuple]:
     return edges + [(f"{r.ccy}*1", "USD*1", r.usd_per_unit, 0.0, str(r.rate_date)) for r in rates if r.ccy != "USD"]
 
 
+def _unit(cur: Column, scale: Column) -> Column:
+    short = F.when(scale == 0.01, "0.01").when(scale == 1, "1").when(scale == 1e3, "1000").when(scale == 1e6, "1e+06").otherwise("1e+09")
+    return F.concat_ws("*", cur, short)
+
+
+def position_units(spark: SparkSession, sf_dir: str, soi: DataFrame) -> DataFrame:
+    """``soi`` (accession, ccy, descr and any others) with ``unit``, ``CCY*scale``, of its amounts."""
+    # filing is a fixed table of 320 rows
+    note = table(spark, sf_dir, "filing").select("accession", noted_scale("amounts_note")["scale"].alias("_note")).dropDuplicates(["accession"])
+    s = soi.join(F.broadcast(note), "accession", "left")
+    # a description counts only where the currency is missing
+    own = F.when(~is_missing(F.col("ccy")), F.col("ccy"))
+    s = s.withColumn("_own", own).withColumn("_told", F.when(F.col("_own").isNull(), F.col("descr")))
+    s = s.withColumn("_a", ccy_field("_own")).withColumn("_b", described_currency("_told"))
+    unit = _unit(F.coalesce("_a.cur", "_b.cur", F.lit("USD")), F.coalesce("_a.scale", "_b.scale", "_note", F.lit(1.0)))
+    return s.withColumn("unit", unit).drop("_note", "_own", "_told", "_a", "_b")
+
+
+def html_units(html: DataFrame) -> DataFrame:
+    """``html`` (caption, investment_type and any others) with ``unit`` of its amounts."""
+    h = html.withColumn("_a", described_currency("investment_type")).withColumn("_n", noted_scale("caption"))
+    scale = F.when(F.col("_a.cur").isNotNull(), F.coalesce("_a.scale", F.lit(1.0))).otherwise(F.coalesce("_n.scale", F.lit(1.0)))
+    return h.withColumn("unit", _unit(F.coalesce("_a.cur", F.lit("USD")), scale)).drop("_a", "_n")
+
+
 def stated_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, row_id, field, amount, unit, at) of fv, par and fair_value; unit is ``CCY*scale``."""
     soi = table(spark, sf_dir, "soi_position").select("pos_id", "accession", "period_end", "ccy", "descr", "fv", "par")
-    # filing is a fixed table of 320 rows
-    note = table(spark, sf_dir, "filing").select("accession", noted_scale("amounts_note")["scale"].alias("note")).dropDuplicates(["accession"])
-    s = soi.where(F.col("fv").isNotNull() | F.col("par").isNotNull()).join(F.broadcast(note), "accession", "left")
-    # a description counts only where the currency is missing
-    s = s.withColumn("own", F.when(~is_missing(F.col("ccy")), F.col("ccy"))).withColumn("told", F.when(F.col("own").isNull(), F.col("descr")))
-    s = s.withColumn("a", ccy_field("own")).withColumn("b", described_currency("told"))
+    s = position_units(spark, sf_dir, soi.where(F.col("fv").isNotNull() | F.col("par").isNotNull()))
     s = s.select(
-        F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), F.col("period_end").alias("at"),
-        F.coalesce("a.cur", "b.cur", F.lit("USD")).alias("cur"),
-        F.coalesce("a.scale", "b.scale", "note", F.lit(1.0)).alias("scale"),
+        F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), F.col("period_end").alias("at"), "unit",
         F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("amount")) for c in ("fv", "par")])).alias("x"),
     )
     h = table(spark, sf_dir, "html_row").select("row_id", "period_end", "caption", "investment_type", "fair_value").where(F.col("fair_value").isNotNull())
-    h = h.withColumn("a", described_currency("investment_type")).withColumn("n", noted_scale("caption"))
-    scale = F.when(F.col("a.cur").isNotNull(), F.coalesce("a.scale", F.lit(1.0))).otherwise(F.coalesce("n.scale", F.lit(1.0)))
-    h = h.select(
-        F.lit("html_row").alias("src"), "row_id", F.col("period_end").alias("at"), F.coalesce("a.cur", F.lit("USD")).alias("cur"), scale.alias("scale"),
+    h = html_units(h).select(
+        F.lit("html_row").alias("src"), "row_id", F.col("period_end").alias("at"), "unit",
         F.struct(F.lit("fair_value").alias("field"), F.col("fair_value").alias("amount")).alias("x"),
     )
-    both = s.unionByName(h)
-    short = F.when(F.col("scale") == 0.01, "0.01").when(F.col("scale") == 1, "1").when(F.col("scale") == 1e3, "1000").when(F.col("scale") == 1e6, "1e+06").otherwise("1e+09")
-    return both.select("src", "row_id", "x.field", "x.amount", F.concat_ws("*", "cur", short).alias("unit"), "at")
+    return s.unionByName(h).select("src", "row_id", "x.field", "x.amount", "unit", "at")
+
+
+def locales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(bdc, day_first, home_zone) of each fund: a fixed table of 20 rows."""
+    return table(spark, sf_dir, "fund").select(F.col("ticker").alias("bdc"), (F.col("locale") != "en_US").alias("day_first"), "home_zone")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
