@@ -14,9 +14,9 @@ from tallyforge.llm.linkage import Rules, link_records
 from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.names import entity_classes, variant_pairs
 from tallyforge.llm.spans import shared_words
-from tallyforge.operators.moments import normalise_moments
-from tallyforge.operators.units import convert_units
-from tallyforge.plans.general_queries import stated_amounts, stated_times, unit_edges
+from tallyforge.operators.moments import with_moments
+from tallyforge.operators.units import conversion_table
+from tallyforge.plans.general_queries import html_units, locales, position_units, unit_edges
 from tallyforge.session import broadcast_within, checkpointed, spread, stored, table
 
 #: Entries of a reference list that the driver reads to build the trees.
@@ -91,6 +91,8 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 HOLDING_RULES = Rules(
     exact={"label": (1.0, 5.0), "spread": (1.5, 5.0), "rate": (1.0, 5.0), "base": (0.5, 5.0), "pik": (0.5, 2.0), "shares": (3.0, 5.0)},
     prefix={"acq": (2.5, 5.0), "maturity": (2.0, 5.0)},
+    overlap={"who": (0.0, 6.0)},
+    same=("label", "acq_month"),
 )
 #: A record's tolerance: a share of its amount, and for positions a dollar.
 AMOUNT_SHARE, AMOUNT_LEAST = 0.009, 1.0
@@ -115,40 +117,52 @@ def size_probes(amount: Column, tol: Column) -> Column:
 
 
 def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The positions and the HTML rows as records for linkage."""
-    names = borrower_classes(spark, sf_dir).select("name", F.concat_ws("|", "own", "line", F.col("numeral").cast("string")).alias("who")).distinct()
-    names = broadcast_within(checkpointed(names), MAX_BROADCAST_NAMES)
+    """The positions and the HTML rows as records for linkage.
+
+    What a row says in its own words (names, labels, dates, amounts) is worked out once a
+    distinct name or wording, or in passing; each book is read once and not shuffled.
+    """
+    names = borrower_classes(spark, sf_dir).groupBy("name").agg(F.collect_set(F.xxhash64("own", "line", "numeral")).alias("who"))
+    names = broadcast_within(stored(names), MAX_BROADCAST_NAMES)
     w = _wordings(spark, sf_dir).where("kind = 'type'")
     label = table(spark, sf_dir, "canon_label").where("kind = 'type'").select(F.col("label").alias("text"), F.col("label_id").alias("exact"))
     meant = closest_entries(w, label_entries(spark, sf_dir)).join(F.broadcast(label), "text", "left").select("text", F.coalesce("exact", "entry").alias("label"))
-    meant = broadcast_within(checkpointed(meant.where("label > 0")), MAX_BROADCAST_NAMES)
-    amounts = stated_amounts(spark, sf_dir).where("field in ('fv', 'fair_value')")
-    usd = convert_units(amounts, unit_edges(spark, sf_dir), "USD*1").where("status = 'converted'")
-    when = normalise_moments(stated_times(spark, sf_dir)).where(F.col("val").isNotNull())
-    acquired = F.col("field").isin("acq", "acquisition_date")
+    meant = broadcast_within(stored(meant.where("label > 0")), MAX_BROADCAST_NAMES)
+    conv = F.broadcast(conversion_table(spark, unit_edges(spark, sf_dir), "USD*1"))  # bounded by units.MAX_EDGES
+    place = F.broadcast(locales(spark, sf_dir))  # 20 rows
+
+    def book(rows: DataFrame, names_of: tuple[str, ...], acquired: str, matures: str) -> DataFrame:
+        r = rows.join(place, "bdc", "left").withColumn("day_first", F.coalesce("day_first", F.lit(False)))
+        r = with_moments(r, [acquired, matures], "day_first", "home_zone")
+        at = F.col("period_end").cast("string")
+        r = r.join(conv.withColumnsRenamed({"unit": "_unit"}), (F.col("unit") == F.col("_unit")) & (at == F.col("on")), "left")
+        r = r.join(meant, "text", "left")
+        none = F.array().cast("array<bigint>")
+        who = none
+        for k, c in enumerate(names_of):
+            r = r.join(names.select(F.col("name").alias(f"_n{k}"), F.col("who").alias(f"_w{k}")), F.col(c) == F.col(f"_n{k}"), "left")
+            who = F.array_union(who, F.coalesce(f"_w{k}", none))
+        day = lambda c: F.substring(F.col(f"{c}_at.val"), 1, 10)
+        return r.select(
+            "src", "row_id", "bdc", "period_end", who.alias("who"), "label", "spread", "rate", F.when(F.col("base").isNotNull(), F.xxhash64("base")).alias("base"), "pik", "shares",
+            (F.col("stated") * F.col("factor") + F.col("shift")).alias("amount"), F.when(F.col("src") == "html_row", F.col("stated")).alias("stated"),
+            F.element_at(F.split("unit", r"\*"), 2).cast("double").alias("scale"), day(acquired).alias("acq"), day(matures).alias("maturity"),
+        )
+
     soi = table(spark, sf_dir, "soi_position").select(
-        F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), "bdc", "period_end", F.coalesce("entity", "company").alias("name"), F.col("type").alias("text"),
-        "spread", "rate", F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), "shares", F.lit(None).cast("double").alias("stated"),
+        F.lit("soi_position").alias("src"), F.col("pos_id").alias("row_id"), "bdc", "period_end", "entity", "company", F.col("type").alias("text"), "spread", "rate", F.col("base_rate").alias("base"),
+        F.col("pik_rate").alias("pik"), "shares", F.when(~F.isnan("fv"), F.col("fv")).alias("stated"), "accession", "ccy", "descr", "acq", "maturity",
     )
     html = table(spark, sf_dir, "html_row").select(
-        F.lit("html_row").alias("src"), "row_id", "bdc", "period_end", F.col("issuer").alias("name"), F.col("investment_type").alias("text"),
-        "spread", F.col("interest_rate").alias("rate"), F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), F.col("shares_units").alias("shares"), F.col("fair_value").alias("stated"),
+        F.lit("html_row").alias("src"), "row_id", "bdc", "period_end", "issuer", F.col("investment_type").alias("text"), "investment_type", "caption", "spread", F.col("interest_rate").alias("rate"),
+        F.col("base_rate").alias("base"), F.col("pik_rate").alias("pik"), F.col("shares_units").alias("shares"), F.when(~F.isnan("fair_value"), F.col("fair_value")).alias("stated"), "acquisition_date", "maturity_date",
     )
-    base = soi.unionByName(html).join(names, "name").join(meant, "text", "left")
-    cell = F.xxhash64("bdc", F.col("period_end").cast("string"), "who")
-    base = base.select("src", "row_id", cell.alias("cell"), "label", "spread", "rate", F.xxhash64("base").alias("h"), "base", "pik", "shares", "stated")
-    base = base.withColumn("base", F.when(F.col("base").isNotNull(), F.col("h"))).drop("h")
-    # a row's parts meet in one aggregation instead of a join each
-    parts = base.unionByName(usd.select("src", "row_id", F.col("val").alias("amount"), F.element_at(F.split("unit", r"\*"), 2).cast("double").alias("scale")), allowMissingColumns=True)
-    parts = parts.unionByName(
-        when.select("src", "row_id", F.when(acquired, F.substring("val", 1, 10)).alias("acq"), F.when(~acquired, F.substring("val", 1, 10)).alias("maturity")), allowMissingColumns=True
-    )
-    r = parts.groupBy("src", "row_id").agg(F.collect_set("cell").alias("cells"), *[F.max(c).alias(c) for c in parts.columns if c not in ("src", "row_id", "cell")]).where(F.size("cells") > 0)
+    r = book(position_units(spark, sf_dir, soi), ("entity", "company"), "acq", "maturity").unionByName(book(html_units(html), ("issuer",), "acquisition_date", "maturity_date"))
     # a stated amount is exact to half of its last digit, in its unit
     step = F.when(F.col("stated") == F.round("stated"), 0.5).when(F.col("stated") * 10 == F.round(F.col("stated") * 10), 0.05).when(F.abs(F.col("stated") * 100 - F.round(F.col("stated") * 100)) < 1e-6, 0.005).otherwise(0.0005)
     dollars = F.abs(F.col("amount") / F.when(F.col("stated") != 0, F.col("stated")))
     tol = AMOUNT_SHARE * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, "scale")).otherwise(F.lit(AMOUNT_LEAST))
-    r = r.withColumn("tol", tol)
+    r = r.withColumn("tol", tol).withColumn("acq_month", F.substring("acq", 1, 7)).withColumn("mat_month", F.substring("maturity", 1, 7))
 
     def key(tag: str, *cols: Column | str) -> Column:
         ok = F.lit(True)
@@ -158,31 +172,26 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     # a position lies in one bin; an HTML row probes all that the tolerances reach
     bins = F.when(F.col("src") == "soi_position", F.array(size_bin(F.col("amount")))).otherwise(size_probes(F.col("amount"), F.col("tol")))
-    about = F.coalesce(F.transform(F.filter(bins, lambda x: x.isNotNull()), lambda x: F.xxhash64(F.lit("fv"), x)), F.array().cast("array<bigint>"))
-    keys = F.concat(
-        about,
-        F.array(
-            key("acq", F.substring("acq", 1, 7), "label"),
-            key("mat", F.substring("maturity", 1, 7), "label"),
-            key("acq+mat", F.substring("acq", 1, 7), F.substring("maturity", 1, 7)),
-            key("shares", "shares"),
-            key("rates", "spread", "rate", "label"),
-        ),
-    )
-    r = r.withColumn("own", F.array_distinct(F.filter(keys, lambda k: k.isNotNull())))
-    r = r.withColumn("keys", F.flatten(F.transform("cells", lambda c: F.transform("own", lambda k: F.xxhash64(c, k)))))
+    bins = F.coalesce(F.filter(bins, lambda x: x.isNotNull()), F.array().cast("array<bigint>"))
+    r = r.withColumn("bins", bins)
+    own = F.array(key("acq", "acq_month", "label"), key("mat", "mat_month", "label"), key("acq+mat", "acq_month", "mat_month"), key("shares", "shares"), key("rates", "spread", "rate", "label"))
+    own = F.concat(F.transform("bins", lambda x: F.xxhash64(F.lit("fv"), x)), F.array_distinct(F.filter(own, lambda k: k.isNotNull())))
+    r = r.withColumn("own", own).withColumn("cell", F.xxhash64("bdc", F.col("period_end").cast("string")))
+    # within a borrower one attribute or two; whatever the name, amount and both months
+    named = F.flatten(F.transform("who", lambda c: F.transform("own", lambda k: F.xxhash64("cell", c, k))))
+    dated = F.col("acq_month").isNotNull() & F.col("mat_month").isNotNull()
+    terms = F.when(dated, F.transform("bins", lambda x: F.xxhash64(F.lit("terms"), "cell", x, "acq_month", "mat_month"))).otherwise(F.array().cast("array<bigint>"))
+    r = r.withColumn("keys", F.concat(named, terms))
     # repeated records of one side state the same amount to three digits
     lead = F.pow(F.lit(10.0), F.floor(F.log10(F.abs("amount"))) - 2)
-    sig = F.when(F.abs("amount") > 0, F.xxhash64("label", "acq", F.round(F.col("amount") / lead), lead)).otherwise(F.xxhash64(F.lit("row"), "row_id"))
-    r = r.withColumn("sig", sig).drop("cells", "own", "stated", "scale")
-    r = stored(r.withColumnRenamed("row_id", "id"))
+    r = r.withColumn("twin", F.when(F.abs("amount") > 0, F.xxhash64(F.round(F.col("amount") / lead), lead)))
+    r = stored(r.select("src", F.col("row_id").alias("id"), "keys", "twin", "amount", "tol", "who", "label", "spread", "rate", "base", "pik", "shares", "acq", "maturity", "acq_month"))
     return r.where("src = 'soi_position'"), r.where("src = 'html_row'")
 
 
 def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = holdings(spark, sf_dir)
-    m = link_records(left, right, HOLDING_RULES)
-    return m.groupBy(F.col("a").alias("pos_id"), F.col("b").alias("row_id")).agg(F.max("confidence").alias("confidence"))
+    return link_records(left, right, HOLDING_RULES).select(F.col("a").alias("pos_id"), F.col("b").alias("row_id"), "confidence")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
