@@ -222,11 +222,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's shared words, number of maximal shared spans, and share of its words."""
+    """Every document's shared words, their share, number of shared spans, and its longest maximal repeat with a partner."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = docs.select("doc_id", F.size(F.filter(F.split("text", r"(?U)\s+"), lambda x: x != "")).alias("n_words"))
     s = shared_words(docs)
-    return s.join(n, "doc_id").select("doc_id", "shared_words", "spans", (F.col("shared_words") / F.col("n_words")).alias("share"))
+    return s.join(n, "doc_id").select("doc_id", "shared_words", "spans", (F.col("shared_words") / F.col("n_words")).alias("share"), "longest", "partner")
 
 
 #: The tokenizer whose tokens measure the mix; a path, so that others can be used.

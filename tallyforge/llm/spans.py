@@ -5,14 +5,17 @@ another document is the union of windows of ``length`` words that do; those are
 nodes of the suffix tree of all documents. The tree is built in parts:
 
 1. Anchors. In every document the words whose following block has the smallest hash of its
-   surroundings are anchors. A shared span holds, in both documents, the same anchors, so
-   only suffixes near an anchor that two documents hold can be shared: the others, nearly
-   all of a corpus, never leave their task.
+   surroundings are anchors. Equal windows have, in both documents, the same anchor, so only
+   windows whose anchor is in two documents can be shared: the others, nearly all of a
+   corpus, never leave their task.
 2. Prefix partitions. Each suffix left is its next blocks' hashes. Suffixes are grouped by
    the first block; a group of one document is pruned, one larger than the memory bound is
    split by one more block, again and again, up to the full depth, where a group is a node.
 3. Subtrees. A group within the bound is sorted and its subtree read off the common
-   prefixes of neighbours: the nodes at full depth whose leaves lie in two documents.
+   prefixes of neighbours: the nodes at full depth whose leaves lie in two documents. Each
+   leaf is told a partner, a leaf of another document under its node.
+4. Maximal repeats. Windows that follow each other with the same partner at the same distance
+   go down one path of the tree; the repeat is as long as the path.
 
 Defined results: null and short texts, and documents without an id, share nothing; repeats within one document count only
 if another document has them too; copies of a whole document are shared wholly; texts of
@@ -29,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.session import checkpointed
+from tallyforge.session import broadcast_within, stored
 
 #: Suffixes that one subtree may hold.
 MAX_GROUP = 50_000
+#: Large groups are told to all tasks up to so many, by a shuffle beyond.
+MAX_BROADCAST_GROUPS = 100_000
 
 BLOCK = 12
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -60,13 +65,18 @@ def block_hashes(words: np.ndarray, block: int = BLOCK) -> np.ndarray:
         return _mix(h).view(np.int64)
 
 
-def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Places of the smallest hash in every ``window`` of consecutive ones."""
+def anchor_of(hashes: np.ndarray, window: int) -> np.ndarray:
+    """For every ``window`` of consecutive hashes the place of its smallest one, the first of equals."""
     n = len(hashes)
     if n < window:
         return np.zeros(0, np.int64)
     view = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.unique(np.arange(n - window + 1) + view.argmin(axis=1))
+    return np.arange(n - window + 1) + view.argmin(axis=1)
+
+
+def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The anchors of all windows."""
+    return np.unique(anchor_of(hashes, window))
 
 
 def _find_anchors(length: int, block: int):
@@ -86,7 +96,7 @@ def _find_anchors(length: int, block: int):
 
 
 def _suffixes(length: int, block: int):
-    """Suffixes of ``length`` words that hold one of the document's shared anchors."""
+    """Suffixes of ``length`` words whose anchor another document holds too: no other window can be shared."""
     depth = length // block
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,11 +104,9 @@ def _suffixes(length: int, block: int):
             parts: list[np.ndarray] = []  # a row of (doc_id, pos, block hashes) a suffix
             for d, w, at in zip(pdf["doc_id"], pdf["w"], pdf["places"]):
                 h = block_hashes(w, block)
-                last = len(w) - length
-                keep = np.zeros(last + 1, bool)
-                for a in at:
-                    keep[max(0, a - (length - block)) : min(last, a) + 1] = True
-                p = np.flatnonzero(keep)
+                shared = np.zeros(len(h), bool)
+                shared[np.asarray(at)] = True
+                p = np.flatnonzero(shared[anchor_of(h, length - block + 1)])
                 parts.append(np.stack([np.full(len(p), d, np.int64), p, *(h[p + k * block] for k in range(depth))], axis=1))
             rows = np.concatenate(parts) if parts else np.zeros((0, 2 + depth), np.int64)
             yield pd.DataFrame(rows, columns=["doc_id", "pos", *(f"h{k}" for k in range(depth))])
@@ -107,24 +115,36 @@ def _suffixes(length: int, block: int):
 
 
 def deep_nodes(group: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """(doc_id, pos) of the leaves under nodes at ``depth`` blocks that lie in two documents.
+    """(doc_id, pos, partner, partner_pos) of the leaves under nodes at ``depth`` blocks that lie in two documents.
 
     Suffixes in order are the leaves of the group's tree from left to right; two neighbours'
-    common prefix is the depth of the node that joins them.
+    common prefix is the depth of the node that joins them. The partner is the least document
+    under the node, or for that one the greatest, at its first leaf.
     """
     cols = [f"h{k}" for k in range(depth)]
     keys = group[cols].to_numpy(np.int64)
-    order = np.lexsort(tuple(keys[:, k] for k in reversed(range(depth))))
-    keys, docs, pos = keys[order], group["doc_id"].to_numpy()[order], group["pos"].to_numpy()[order]
+    doc, pos = group["doc_id"].to_numpy(np.int64), group["pos"].to_numpy(np.int64)
+    order = np.lexsort((pos, doc, *(keys[:, k] for k in reversed(range(depth)))))
+    keys, doc, pos = keys[order], doc[order], pos[order]
     common = np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1)
-    node = np.concatenate(([0], np.cumsum(common < depth)))
-    lo = pd.Series(docs).groupby(node).transform("min").to_numpy()
-    hi = pd.Series(docs).groupby(node).transform("max").to_numpy()
-    return pd.DataFrame({"doc_id": docs[lo != hi], "pos": pos[lo != hi]})
+    new = np.concatenate(([True], common < depth)) if len(doc) else np.zeros(0, bool)
+    node = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc)) - 1
+    # the first leaf of the node's last document
+    fresh = np.flatnonzero(new | np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else first
+    head = fresh[np.searchsorted(fresh, last, side="right") - 1] if len(doc) else first
+    lo, hi = first[node], head[node]
+    two = doc[lo] != doc[hi]
+    at = np.where(doc == doc[lo], hi, lo)
+    return pd.DataFrame({"doc_id": doc[two], "pos": pos[two], "partner": doc[at][two], "partner_pos": pos[at][two]})
+
+
+_NODES = "doc_id bigint, pos bigint, partner bigint, partner_pos bigint"
 
 
 def shared_windows(docs: DataFrame, length: int = 60, block: int = BLOCK, max_group: int = MAX_GROUP) -> DataFrame:
-    """(doc_id, pos): the windows of ``length`` words that occur in another document too.
+    """(doc_id, pos, partner, partner_pos): the windows of ``length`` words that occur in another document too, and where.
 
     ``docs`` has (doc_id, text); ``length`` is a multiple of ``block``.
     """
@@ -133,44 +153,65 @@ def shared_windows(docs: DataFrame, length: int = 60, block: int = BLOCK, max_gr
     depth = length // block
     words = F.filter(F.split("text", r"(?U)\s+"), lambda x: x != "")
     d = docs.select("doc_id", F.transform(words, lambda x: F.xxhash64(x)).alias("w")).where(F.col("doc_id").isNotNull() & (F.size("w") >= length))
-    found = checkpointed(d.mapInPandas(_find_anchors(length, block), "doc_id bigint, pos bigint, anchor bigint"))
+    found = stored(d.mapInPandas(_find_anchors(length, block), "doc_id bigint, pos bigint, anchor bigint"))
     two = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("anchor")
     places = found.join(two, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("places"))
     cols = [f"h{k}" for k in range(depth)]
     schema = "doc_id bigint, pos bigint, " + ", ".join(f"{c} bigint" for c in cols)
-    left = checkpointed(d.join(places, "doc_id").mapInPandas(_suffixes(length, block), schema))
+    left = stored(d.join(places, "doc_id").mapInPandas(_suffixes(length, block), schema))
     out = None
     for k in range(1, depth + 1):
         prefix = cols[:k]
-        size = left.groupBy(*prefix).agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
         if k == depth:
-            part = left.join(size.select(*prefix), prefix, "left_semi").select("doc_id", "pos")
-            out = part if out is None else out.unionByName(part)
-            break
-        size = checkpointed(size)
-        fits = size.where(F.col("n") <= max_group)
-        # groups share a task's memory: as many hash buckets as keep them below the bound
-        total = fits.agg(F.sum("n")).first()[0] or 0
-        buckets = max(8, -(-2 * total // max_group))
-        group = left.join(fits.select(*prefix), prefix, "left_semi").withColumn("bucket", F.pmod(F.xxhash64(*prefix), F.lit(buckets)))
-        nodes = group.groupBy("bucket").applyInPandas(lambda g: deep_nodes(g, depth), "doc_id bigint, pos bigint")
+            # a group at full depth is a node, whatever its size
+            node = left.groupBy(*prefix).agg(F.min(F.struct("doc_id", "pos")).alias("lo"), F.max(F.struct("doc_id", (-F.col("pos")).alias("minus"))).alias("hi")).where("lo.doc_id <> hi.doc_id")
+            mine = F.col("doc_id") == F.col("lo.doc_id")
+            part = left.join(node, prefix).select(
+                "doc_id", "pos", F.when(mine, F.col("hi.doc_id")).otherwise(F.col("lo.doc_id")).alias("partner"), F.when(mine, -F.col("hi.minus")).otherwise(F.col("lo.pos")).alias("partner_pos")
+            )
+            return part if out is None else out.unionByName(part)
+        # few groups are large: those of an eighth of the bound or more have a task of their own, or are split
+        size = left.groupBy(*prefix).agg(F.count("*").alias("n"), (F.min("doc_id") != F.max("doc_id")).alias("two")).where(F.col("n") > max_group // 8)
+        size = stored(size)
+        total = left.count()
+        buckets = max(8, -(-4 * total // max_group))
+        few = broadcast_within(size, MAX_BROADCAST_GROUPS)
+        group = left.join(few, prefix, "left").where(F.col("n").isNull() | (F.col("two") & (F.col("n") <= max_group)))
+        group = group.withColumn("bucket", F.when(F.col("n").isNull(), F.pmod(F.xxhash64(*prefix), F.lit(buckets))).otherwise(F.xxhash64(*prefix))).drop("n", "two")
+        nodes = group.groupBy("bucket").applyInPandas(lambda g: deep_nodes(g, depth), _NODES)
         out = nodes if out is None else out.unionByName(nodes)
-        rest = size.where(F.col("n") > max_group)
+        rest = size.where(F.col("two") & (F.col("n") > max_group))
         if rest.isEmpty():
-            break
-        left = checkpointed(left.join(rest.select(*prefix), prefix, "left_semi"))
-    return out
+            return out
+        left = stored(left.join(rest.select(*prefix), prefix, "left_semi"))
+
+
+def maximal_repeats(docs: DataFrame, length: int = 60, block: int = BLOCK, max_group: int = MAX_GROUP) -> DataFrame:
+    """(doc_id, start, words, partner, partner_start): spans of a document as far as they run along with one partner.
+
+    Consecutive windows whose nodes have the partner at the same distance are one path down the
+    tree: the repeat is as long as the path. Windows of one document may have several partners.
+    """
+    w = shared_windows(docs, length, block, max_group).withColumn("by", F.col("partner_pos") - F.col("pos"))
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("doc_id", "partner", "by").orderBy("pos"))
+    g = w.withColumn("run", run).groupBy("doc_id", "partner", "by", "run").agg(F.min("pos").alias("start"), (F.count("*") + length - 1).alias("words"))
+    return g.select("doc_id", "start", "words", "partner", (F.col("start") + F.col("by")).alias("partner_start"))
 
 
 def shared_words(docs: DataFrame, length: int = 60, block: int = BLOCK, max_group: int = MAX_GROUP) -> DataFrame:
-    """(doc_id, shared_words, spans): how many words of each document lie in shared spans, and in how many spans."""
-    w = shared_windows(docs, length, block, max_group)
-    step = F.col("pos") - F.lag("pos").over(Window.partitionBy("doc_id").orderBy("pos"))
+    """(doc_id, shared_words, spans, longest, partner): words of each document in shared spans, the spans, and the longest maximal repeat."""
+    m = maximal_repeats(docs, length, block, max_group)
+    # spans are the union of the repeats: a gap is where none reaches
+    reach = F.max(F.col("start") + F.col("words")).over(Window.partitionBy("doc_id").orderBy("start", "words", "partner").rowsBetween(Window.unboundedPreceding, -1))
+    end = F.col("start") + F.col("words")
+    fresh = F.greatest(F.lit(0), end - F.greatest("start", F.coalesce("reach", "start")))
     return (
-        w.select("doc_id", "pos", step.alias("step"))
+        m.withColumn("reach", reach)
         .groupBy("doc_id")
         .agg(
-            F.sum(F.when(F.col("step") < length, F.col("step")).otherwise(length)).cast("bigint").alias("shared_words"),
-            F.sum(F.when(F.col("step") <= length, 0).otherwise(1)).cast("bigint").alias("spans"),
+            F.sum(fresh).cast("bigint").alias("shared_words"),
+            F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).cast("bigint").alias("spans"),
+            F.max(F.struct("words", (-F.col("partner")).alias("minus"))).alias("m"),
         )
+        .select("doc_id", "shared_words", "spans", F.col("m.words").cast("bigint").alias("longest"), (-F.col("m.minus")).alias("partner"))
     )

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tallyforge.llm.spans import anchors, block_hashes, shared_words
+from tallyforge.llm.spans import anchors, block_hashes, maximal_repeats, shared_words
 
 
 def brute(docs, length):
@@ -46,10 +46,25 @@ def test_equals_brute_force(spark, length, block, bound):
     assert got == brute(docs, length)
 
 
+@pytest.mark.parametrize("bound", [50_000, 40])
+def test_repeats_are_equal_words_of_a_partner(spark, bound):
+    docs = corpus(90, True)
+    words = {d: (t or "").split() for d, t in docs}
+    got = maximal_repeats(spark.createDataFrame(docs, "doc_id bigint, text string"), 24, 6, max_group=bound).collect()
+    assert got
+    for r in got:
+        a, b = words[r.doc_id][r.start : r.start + r.words], words[r.partner][r.partner_start : r.partner_start + r.words]
+        assert r.partner != r.doc_id and a == b and len(a) == r.words >= 24
+    covered = {}
+    for r in got:
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.words))
+    assert {d: len(c) for d, c in covered.items()} == brute(docs, 24)
+
+
 def test_copies_share_everything(spark):
     t = " ".join(str(i) for i in range(5000))
     df = spark.createDataFrame([(1, t), (2, t), (3, t + " more")], "doc_id bigint, text string")
-    assert {r.doc_id: (r.shared_words, r.spans) for r in shared_words(df).collect()} == {1: (5000, 1), 2: (5000, 1), 3: (5000, 1)}
+    assert {r.doc_id: (r.shared_words, r.spans, r.longest, r.partner) for r in shared_words(df).collect()} == {1: (5000, 1, 5000, 3), 2: (5000, 1, 5000, 1), 3: (5000, 1, 5000, 1)}
 
 
 def test_empty(spark):
