@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.session import broadcast_within, checkpointed
+from tallyforge.session import broadcast_within, checkpointed, dealt, stored
 
 #: Item n-grams and seeds are broadcast up to so many rows (16 bytes each), shuffled beyond.
 MAX_BROADCAST_SEEDS = 2_000_000
@@ -51,49 +51,58 @@ def _grams(h: Column, n: int) -> Column:
     return F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(*[F.get(h, i + k) for k in range(n)]).alias("gram")))
 
 
+def _row(h: np.ndarray, same: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The scores at the next item word; insertions along the row are a running maximum, as a gap costs the same wherever it starts."""
+    row = np.zeros_like(h)
+    np.maximum(h[:-1] + np.where(same, h.dtype.type(MATCH), h.dtype.type(MISMATCH)), h[1:] + h.dtype.type(GAP), out=row[1:])
+    np.maximum(row, 0, out=row)
+    lifted = row - GAP * index
+    return np.maximum.accumulate(lifted, out=lifted) + GAP * index
+
+
 def align(doc: np.ndarray, item: np.ndarray) -> tuple[int, int, int, int, int]:
     """(score, matched words, item words spanned, first document word, longest equal run).
 
-    Local alignment with linear gaps, a row of the document at each item word. Insertions along
-    the row are a running maximum, as a gap costs the same wherever it starts.
+    Local alignment with linear gaps. The score and where it ends are found over the whole
+    document, the rest by tracing the stretch before that end in which the alignment lies: of its
+    document words no more than two are unmatched for each that is matched.
     """
     n = len(doc)
-    h = np.zeros(n + 1, np.int64)
-    hits = np.zeros(n + 1, np.int64)
-    first_i = np.zeros(n + 1, np.int64)
-    first_d = np.zeros(n + 1, np.int64)
-    run = np.zeros(n + 1, np.int64)
-    longest = 0
-    best = (0, 0, 0, 0)
-    slope = GAP * np.arange(n + 1)
-    index = np.arange(n + 1)
+    index = np.arange(n + 1, dtype=np.int32)
+    h, run = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32)
+    score, end_i, end_d, longest = 0, 0, 0, 0
     for i, w in enumerate(item):
         same = doc == w
-        run[1:] = np.where(same, run[:-1] + 1, 0)
+        np.multiply(run[:-1] + 1, same, out=run[1:])
         longest = max(longest, int(run.max()))
-        diag = h[:-1] + np.where(same, MATCH, MISMATCH)
-        up = h[1:] + GAP
-        row = np.zeros(n + 1, np.int64)
-        take_diag = (diag >= up) & (diag > 0)
-        row[1:] = np.maximum(np.maximum(diag, up), 0)
-        fresh = h[:-1] == 0
-        nh, ni, nd = np.zeros_like(hits), np.full(n + 1, i), index.copy()
-        nh[1:] = np.where(take_diag, hits[:-1] + same, np.where(row[1:] > 0, hits[1:], 0))
-        ni[1:] = np.where(take_diag, np.where(fresh, i, first_i[:-1]), np.where(row[1:] > 0, first_i[1:], i))
-        nd[1:] = np.where(take_diag, np.where(fresh, index[:-1], first_d[:-1]), np.where(row[1:] > 0, first_d[1:], index[1:]))
-        # gaps along the row: the best start so far, less what the gap costs since
-        lifted = row - slope
-        top = np.maximum.accumulate(lifted)
-        source = np.maximum.accumulate(np.where(lifted == top, index, 0))
-        gained = top + slope
-        use = gained > row
-        row = np.where(use, gained, row)
-        nh, ni, nd = np.where(use, nh[source], nh), np.where(use, ni[source], ni), np.where(use, nd[source], nd)
-        h, hits, first_i, first_d = row, nh, ni, nd
+        h = _row(h, same, index)
         k = int(h.argmax())
-        if h[k] > best[0]:
-            best = (int(h[k]), int(hits[k]), i - int(first_i[k]) + 1, int(first_d[k]))
-    return (*best, longest)
+        if h[k] > score:
+            score, end_i, end_d = int(h[k]), i, k
+    if not score:
+        return 0, 0, 0, 0, longest
+    start = max(0, end_d - 3 * len(item) - 1)
+    matched, first_i, first_d = _trace(doc[start:end_d], item[: end_i + 1])
+    return score, matched, end_i - first_i + 1, start + first_d, longest
+
+
+def _trace(doc: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
+    """(matched words, first item word, first document word) of the best alignment that ends with both."""
+    rows = [np.zeros(len(doc) + 1, np.int32)]
+    index = np.arange(len(doc) + 1, dtype=np.int32)
+    for w in item:
+        rows.append(_row(rows[-1], doc == w, index))
+    i, d, matched = len(item), len(doc), 0
+    while rows[i][d] > 0:
+        here = rows[i][d]
+        if i and d and here == rows[i - 1][d - 1] + (MATCH if doc[d - 1] == item[i - 1] else MISMATCH):
+            matched += int(doc[d - 1] == item[i - 1])
+            i, d = i - 1, d - 1
+        elif i and here == rows[i - 1][d] + GAP:
+            i -= 1
+        else:
+            d -= 1
+    return matched, i, d
 
 
 def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,10 +116,10 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 ALIGNED = "doc_id bigint, item_id bigint, score bigint, matched bigint, spanned bigint, at bigint, run bigint, words bigint"
 
 
-def _hashed(t: DataFrame, key: str, least: int) -> DataFrame:
+def _hashed(t: DataFrame, key: str, least: int, *also: str) -> DataFrame:
     """(key, w): the hashed words of texts of ``least`` words or more."""
     w = F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x))
-    return t.select(key, w.alias("w")).where(F.size("w") >= least)
+    return t.select(key, *also, w.alias("w")).where(F.size("w") >= least)
 
 
 def bounds(doc: np.ndarray, known: np.ndarray, worth: np.ndarray) -> np.ndarray:
@@ -154,22 +163,21 @@ def leaked_items(docs: DataFrame, items: DataFrame, run: int = 13, n: int = 5) -
     ``docs`` has (doc_id, text), ``items`` (item_id, text). ``run`` is the length of runs that
     are never missed; ``n`` the words of a seed.
     """
-    # written once: the words are read for the counts, the seeds and the alignment
-    d, i = checkpointed(_hashed(docs, "doc_id", n)), checkpointed(_hashed(items, "item_id", n))
-    item_grams = checkpointed(i.select("item_id", F.size("w").alias("len"), F.inline(_grams(F.col("w"), n))))
-    wanted = broadcast_within(checkpointed(item_grams.select("gram").distinct()), MAX_BROADCAST_SEEDS)
-    doc_grams = d.select("doc_id", F.explode(_grams(F.col("w"), n)["gram"]).alias("gram"))
-    shared = doc_grams.join(wanted, "gram", "left_semi")
-    counts = shared.groupBy("gram").agg(F.count("*").alias("n"))
-    counts = broadcast_within(checkpointed(counts), MAX_BROADCAST_SEEDS)
+    i = stored(_hashed(items, "item_id", n))
+    item_grams = stored(i.select("item_id", F.size("w").alias("len"), F.inline(_grams(F.col("w"), n))))
+    wanted = broadcast_within(stored(item_grams.select("gram").distinct()), MAX_BROADCAST_SEEDS)
+    # the only pass over the corpus: where documents have n-grams of items
+    hits = stored(_hashed(docs, "doc_id", n).select("doc_id", F.explode(_grams(F.col("w"), n)["gram"]).alias("gram")).join(wanted, "gram", "left_semi"))
+    counts = broadcast_within(stored(hits.groupBy("gram").agg(F.count("*").alias("n"))), MAX_BROADCAST_SEEDS)
     # the rarest n-gram that occurs, of every window; windows of short items are whole items
     g = item_grams.join(counts, "gram")
     windows = g.withColumn("start", F.explode(F.sequence(F.greatest(F.lit(0), F.col("pos") - (run - n)), F.least(F.col("pos"), F.greatest(F.lit(0), F.col("len") - run)))))
     rare = windows.groupBy("item_id", "start").agg(F.min(F.struct("n", "pos", "gram")).alias("s"))
-    seeds = rare.select("item_id", "s.gram").distinct()
-    seeds = broadcast_within(checkpointed(seeds), MAX_BROADCAST_SEEDS)
-    pairs = doc_grams.join(seeds, "gram").select("doc_id", "item_id").distinct()
-    both = pairs.join(d.withColumnRenamed("w", "doc"), "doc_id").join(i.withColumnRenamed("w", "item"), "item_id")
+    seeds = broadcast_within(stored(rare.select("item_id", "s.gram").distinct()), MAX_BROADCAST_SEEDS)
+    # a document's words travel once, whatever the number of items that it has seeds of
+    pairs = hits.join(seeds, "gram").groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
+    both = dealt(docs.select("doc_id", "text").join(pairs, "doc_id")).select("text", F.col("doc_id"), F.explode("items").alias("item_id"))
+    both = _hashed(both, "doc_id", n, "item_id").withColumnRenamed("w", "doc").join(broadcast_within(i.withColumnRenamed("w", "item"), ITEMS_A_PASS), "item_id")
     return both.mapInPandas(_aligned, ALIGNED)
 
 
