@@ -9,7 +9,8 @@ one gives the offset. The intervals come from the tz database, whose size is bou
 few local times of years outside ``YEARS`` are resolved by the parser, one by one.
 
 Defined results: null, blank and other texts, and impossible dates, give no row; an
-ambiguous or nonexistent local time gives a row with that ``status`` and no value, in any
+ambiguous or nonexistent local time gives a row with that ``status`` and no value, a local
+time without a zone or home zone one with status ``moment`` and no value, in any
 year from 1 to 9999; texts of any length are read whole.
 """
 
@@ -56,8 +57,6 @@ _Y_NAME = re.compile(r"(\d{4})[-. ,]+([a-z]+)\.?")
 
 Parsed = tuple[str | None, str | None, int | None, int | None, str | None]  # date, month, local, offset, zone
 _NOTHING: Parsed = (None, None, None, None, None)
-#: Most texts; built-in expressions read them.
-_PLAIN = r"^\d{4}-\d{2}-\d{2}$"
 _EPOCH = dt.datetime(1970, 1, 1)
 
 
@@ -170,28 +169,32 @@ _FIRST, _LAST = (int((dt.datetime(y, 1, 1) - _EPOCH).total_seconds()) for y in (
 
 
 def _resolved(text: str, day_first: bool, home_zone: str | None) -> tuple:
-    """``parse_moment``, the zone settled, and the number of offsets where the year has no intervals."""
+    """(val, status, local, offset, zone, year): what the text settles; with a zone, what its intervals must settle."""
     date, month, local, offset, zone = parse_moment(text, day_first)
-    far = None
-    if zone == "":
-        zone = home_zone
-    if local is not None and offset is None and not _FIRST <= local < _LAST:
+    if local is None:
+        return date or month, "date" if date else "month" if month else None, None, None, None, None
+    if offset is not None:
+        return None, "moment", local, offset, None, None
+    zone = zone or home_zone
+    if not _FIRST <= local < _LAST:
         hits = offsets_at(local, zone or "")
-        offset, zone, far = (hits[0] if len(hits) == 1 else None), None, len(hits)
-    return date, month, local, offset, zone, far
+        return None, ("nonexistent", "moment", "ambiguous")[len(hits)], local, hits[0] if len(hits) == 1 else None, None, None
+    if not zone:
+        return None, "moment", local, None, None, None  # no zone to tell it in
+    return None, None, local, None, zone, (_EPOCH + dt.timedelta(seconds=local)).year
 
 
 @F.pandas_udf(
     T.StructType(
-        [T.StructField(c, T.StringType()) for c in ("date", "month")]
+        [T.StructField(c, T.StringType()) for c in ("val", "status")]
         + [T.StructField(c, T.LongType()) for c in ("local", "offset")]
-        + [T.StructField("zone", T.StringType()), T.StructField("far", T.LongType())]
+        + [T.StructField("zone", T.StringType()), T.StructField("year", T.LongType())]
     )
 )
 def _parsed(text: pd.Series, day_first: pd.Series, home_zone: pd.Series) -> pd.DataFrame:
-    rows = [_resolved(t, bool(d), z) if isinstance(t, str) else (*_NOTHING, None) for t, d, z in zip(text, day_first, home_zone)]
-    out = pd.DataFrame(rows, columns=["date", "month", "local", "offset", "zone", "far"])
-    return out.astype({"local": "Int64", "offset": "Int64", "far": "Int64"})
+    rows = [_resolved(t, bool(d), z) if isinstance(t, str) else (None,) * 6 for t, d, z in zip(text, day_first, home_zone)]
+    out = pd.DataFrame(rows, columns=["val", "status", "local", "offset", "zone", "year"])
+    return out.astype({"local": "Int64", "offset": "Int64", "year": "Int64"})
 
 
 def zone_intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -253,31 +256,21 @@ def with_moments(df: DataFrame, texts: list[str], day_first: str, home_zone: str
     spans = spans.groupBy("zone", "year").agg(F.collect_list(F.struct("lo", "hi", "off")).alias("spans"))
     out = df
     for c in texts:
-        plain = F.col(c).rlike(_PLAIN)
-        out = out.withColumn(f"_p_{c}", _parsed(F.when(~plain, F.col(c)), F.col(day_first), F.col(home_zone)))
+        out = out.withColumn(f"_p_{c}", _parsed(F.col(c), F.col(day_first), F.col(home_zone)))
     for c in texts:
-        p = lambda k, c=c: F.col(f"_p_{c}")[k]
+        p = F.col(f"_p_{c}")
+        local = p["local"]
         s = spans.select(F.col("zone").alias(f"_z_{c}"), F.col("year").alias(f"_y_{c}"), F.col("spans").alias(f"_s_{c}"))
-        out = out.join(F.broadcast(s), (p("zone") == F.col(f"_z_{c}")) & (F.year(F.timestamp_seconds(p("local"))) == F.col(f"_y_{c}")), "left")
-        local = p("local")
-        hits = F.filter(f"_s_{c}", lambda x: (local >= x["lo"]) & (local < x["hi"]))  # noqa: B023
-        hits = F.when(p("local").isNotNull() & p("zone").isNotNull(), F.coalesce(hits, F.array().cast("array<struct<lo:bigint,hi:bigint,off:bigint>>")))
-        out = out.withColumn(f"_h_{c}", hits)
-        n = F.coalesce(p("far"), F.size(F.col(f"_h_{c}")).cast("bigint"))
-        n = F.when(p("far").isNotNull() | F.col(f"_h_{c}").isNotNull(), n)
-        off = F.when(F.col(f"_h_{c}").isNull(), p("offset")).when(n == 1, F.get(F.col(f"_h_{c}"), F.lit(0))["off"])
-        moment = F.date_format(F.timestamp_seconds(p("local") - off), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-        plain = F.when(F.col(c).rlike(_PLAIN), F.when(F.col(c).try_cast("date").isNotNull() & ~F.col(c).startswith("0000"), F.col(c)))
-        date = F.coalesce(plain, p("date"))
-        status = (
-            F.when(date.isNotNull(), "date")
-            .when(p("month").isNotNull(), "month")
-            .when(n.isNull() | (n == 1), "moment")
-            .when(n > 1, "ambiguous")
-            .otherwise("nonexistent")
-        )
-        stated = date.isNotNull() | p("month").isNotNull() | p("local").isNotNull()
-        out = out.withColumn(f"{c}_at", F.when(stated, F.struct(F.coalesce(date, p("month"), moment).alias("val"), status.alias("status"))))
+        out = out.join(F.broadcast(s), (p["zone"] == F.col(f"_z_{c}")) & (p["year"] == F.col(f"_y_{c}")), "left")
+        # offsets whose interval holds the local time: one, or two, or none
+        hits = F.transform(F.filter(f"_s_{c}", lambda x: (local >= x["lo"]) & (local < x["hi"])), lambda x: x["off"])  # noqa: B023
+        out = out.withColumn(f"_h_{c}", F.when(p["zone"].isNotNull(), F.coalesce(hits, F.array().cast("array<bigint>"))))
+        n = F.size(f"_h_{c}")
+        off = F.coalesce(p["offset"], F.when(n == 1, F.get(F.col(f"_h_{c}"), F.lit(0))))
+        moment = F.date_format(F.timestamp_seconds(local - off), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        told = F.when(n == 1, "moment").when(n > 1, "ambiguous").otherwise("nonexistent")
+        stated = p["status"].isNotNull() | p["zone"].isNotNull()
+        out = out.withColumn(f"{c}_at", F.when(stated, F.struct(F.coalesce(p["val"], moment).alias("val"), F.coalesce(p["status"], told).alias("status"))))
     return out.drop(*[f"_{k}_{c}" for c in texts for k in "pzysh"])
 
 
