@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,12 +106,9 @@ def _as_month(s: str) -> str | None:
 
 def parse_moment(text: str, day_first: bool) -> Parsed:
     """What ``text`` states: a date, a month, or local seconds with an offset or a zone's name."""
-    s = re.sub(r"\s+", " ", text.strip().strip("\u200b\ufeff")).strip()
-    # few texts are long; those are not kept
-    return (_parse if len(s) <= 100 else _parse.__wrapped__)(s, day_first)
+    return _parse(re.sub(r"\s+", " ", text.strip().strip("\u200b\ufeff")).strip(), day_first)
 
 
-@lru_cache(100_000)
 def _parse(s: str, day_first: bool) -> Parsed:
     if not s:
         return _NOTHING
@@ -184,6 +182,11 @@ def _resolved(text: str, day_first: bool, home_zone: str | None) -> tuple:
     return None, None, local, None, zone, (_EPOCH + dt.timedelta(seconds=local)).year
 
 
+@lru_cache(200_000)
+def _kept(text: str, day_first: bool, home_zone: str | None) -> tuple:
+    return _resolved(text, day_first, home_zone)
+
+
 @F.pandas_udf(
     T.StructType(
         [T.StructField(c, T.StringType()) for c in ("val", "status")]
@@ -192,9 +195,20 @@ def _resolved(text: str, day_first: bool, home_zone: str | None) -> tuple:
     )
 )
 def _parsed(text: pd.Series, day_first: pd.Series, home_zone: pd.Series) -> pd.DataFrame:
-    rows = [_resolved(t, bool(d), z) if isinstance(t, str) else (None,) * 6 for t, d, z in zip(text, day_first, home_zone)]
-    out = pd.DataFrame(rows, columns=["val", "status", "local", "offset", "zone", "year"])
-    return out.astype({"local": "Int64", "offset": "Int64", "year": "Int64"})
+    n = len(text)
+    out = {c: [None] * n for c in ("val", "status", "zone")}
+    # few texts are moments, so numbers are set where they occur
+    number = {c: np.full(n, np.nan) for c in ("local", "offset", "year")}
+    for k, (t, d, z) in enumerate(zip(text, day_first, home_zone)):
+        if isinstance(t, str):
+            val, status, local, offset, zone, year = (_kept if len(t) <= 100 else _resolved)(t, bool(d), z)
+            out["val"][k], out["status"][k] = val, status
+            if local is not None:
+                out["zone"][k], number["local"][k] = zone, local
+                for c, x in (("offset", offset), ("year", year)):
+                    if x is not None:
+                        number[c][k] = x
+    return pd.DataFrame({"val": out["val"], "status": out["status"], "local": number["local"], "offset": number["offset"], "zone": out["zone"], "year": number["year"]})
 
 
 def zone_intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
