@@ -2,7 +2,7 @@
 
 Everything is a DataFrame plan. "First seen" is by an explicit order column, never by the
 order of partitions. Group keys that one borrower may dominate are aggregated with partial
-aggregation before they shuffle; no plan pairs the rows of a group.
+aggregation before they shuffle; joins on a tolerance meet on bins of the value.
 """
 
 from __future__ import annotations
@@ -210,10 +210,11 @@ def conservatism(p: DataFrame) -> DataFrame:
 def tolerance_join(left: DataFrame, right: DataFrame, least: int = 5, share: float = 0.01) -> DataFrame:
     """(id, row): the row of the same key whose value is within the tolerance; lowest value, then first.
 
-    ``left`` has (id, key, fv), ``right`` (row, key, value, ord); values are whole.
+    ``left`` has (id, key, fv), ``right`` (row, key, value, ord); values are whole. Rows meet on key
+    and bin of value, so that a key of many rows is not paired with itself.
     """
-    tol = F.greatest(F.lit(least), F.floor(F.abs("fv") * share))
-    j = left.join(right, "key").where(F.abs(F.col("value") - F.col("fv")) <= tol)
+    met = band_join(left, right, least, share, by="key").select("id", "row", "value")
+    j = met.join(right.select("row", "ord"), "row")
     return j.groupBy("id").agg(F.min(F.struct("value", "ord", "row")).alias("m")).select("id", F.col("m.row").alias("row"), F.col("m.value").alias("value"))
 
 
@@ -223,19 +224,20 @@ def _bin(v: Column) -> Column:
     return F.when(F.abs(v) < 500, F.concat(F.lit("l"), F.floor(v / 5).cast("string"))).otherwise(big)
 
 
-def band_join(left: DataFrame, right: DataFrame, least: int = 5, share: float = 0.01) -> DataFrame:
-    """All (id, row) whose whole values are within the tolerance, whatever their keys.
+def band_join(left: DataFrame, right: DataFrame, least: int = 5, share: float = 0.01, by: str | None = None) -> DataFrame:
+    """All (id, row, fv, value) whose whole values are within the tolerance; with ``by``, of one key each.
 
     A value looks into its own bin and the two beside it; around 500, where the bins change,
-    into both kinds.
+    into both kinds. A right row lies in one bin, so a pair is met once.
     """
     tol = F.greatest(F.lit(least), F.floor(F.abs("fv") * share))
     # around 500 the reach spans both kinds of bins, and their edge
     edge = F.when(F.abs("fv").between(490, 511), F.array(*[_bin(F.signum("fv") * v) for v in (499, 500)])).otherwise(F.array().cast("array<string>"))
     probes = F.array_distinct(F.concat(F.array(*[_bin(F.col("fv") + d) for d in (-5, 0, 5)], _bin(F.col("fv") - tol), _bin(F.col("fv") + tol)), edge))
-    lx = left.withColumn("bin", F.explode(probes))
-    rx = right.withColumn("bin", _bin(F.col("value")))
-    return lx.join(rx, "bin").where(F.abs(F.col("value") - F.col("fv")) <= tol).select("id", "row", "fv", "value").dropDuplicates(["id", "row"])
+    keys = ["bin", *([by] if by else [])]
+    lx = left.select("id", "fv", *keys[1:], F.explode(probes).alias("bin"))
+    rx = right.select("row", "value", *keys[1:], _bin(F.col("value")).alias("bin"))
+    return lx.join(rx, keys).where(F.abs(F.col("value") - F.col("fv")) <= tol).select("id", "row", "fv", "value")
 
 
 # --- time series and balance sheets -------------------------------------------------------
