@@ -54,24 +54,35 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def block_hashes(words: np.ndarray, block: int = BLOCK) -> np.ndarray:
     """The hash of the ``block`` words from each word on."""
-    w = np.asarray(words, np.int64).view(np.uint64)
+    w = _mix(np.asarray(words, np.int64).view(np.uint64))
     n = len(w) - block + 1
     if n <= 0:
         return np.zeros(0, np.int64)
     h = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(block):
-            h = h * _BASE + _mix(w[k : k + n] + np.uint64(k + 1))
+            h = h * _BASE + w[k : k + n]
         return _mix(h).view(np.int64)
 
 
 def anchor_of(hashes: np.ndarray, window: int) -> np.ndarray:
-    """For every ``window`` of consecutive hashes the place of its smallest one, the first of equals."""
+    """For every ``window`` of consecutive hashes the place of its smallest one, the first of equals.
+
+    The smallest of a stretch is the smaller one of two that cover it; stretches double.
+    """
     n = len(hashes)
     if n < window:
         return np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.arange(n - window + 1) + view.argmin(axis=1)
+    best, reach = np.arange(n), 1
+
+    def join(step: int) -> np.ndarray:
+        left, right = best[: len(best) - step], best[step:]
+        return np.where(hashes[left] <= hashes[right], left, right)
+
+    while 2 * reach <= window:
+        best = join(reach)
+        reach *= 2
+    return join(window - reach) if reach < window else best
 
 
 def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -79,18 +90,33 @@ def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(anchor_of(hashes, window))
 
 
+class _Batch:
+    """Documents of a batch end to end: hashes and anchors are worked out over all of them at once."""
+
+    def __init__(self, pdf: pd.DataFrame, length: int, block: int) -> None:
+        sizes = pdf["w"].str.len().to_numpy(np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else np.zeros(0, np.int64)
+        self.ids = pdf["doc_id"].to_numpy(np.int64)
+        words = np.concatenate(list(pdf["w"])) if len(sizes) else np.zeros(0, np.int64)
+        self.hashes = block_hashes(words, block)
+        self.anchor = anchor_of(self.hashes, length - block + 1)
+        # windows that run into the next document are none
+        end = np.repeat(self.starts + sizes, sizes)[: len(self.anchor)]
+        self.inside = np.arange(len(self.anchor)) + length <= end
+
+    def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document, place in it) of places in the batch."""
+        doc = np.searchsorted(self.starts, at, side="right") - 1
+        return self.ids[doc], at - self.starts[doc]
+
+
 def _find_anchors(length: int, block: int):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, places, keys = [], [], []
-            for d, w in zip(pdf["doc_id"], pdf["w"]):
-                h = block_hashes(w, block)
-                a = anchors(h, length - block + 1)
-                ids.append(np.full(len(a), d, np.int64))
-                places.append(a)
-                keys.append(h[a])
-            cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-            yield pd.DataFrame({"doc_id": cat(ids), "pos": cat(places), "anchor": cat(keys)})
+            b = _Batch(pdf, length, block)
+            at = np.unique(b.anchor[b.inside])
+            doc, pos = b.place(at)
+            yield pd.DataFrame({"doc_id": doc, "pos": pos, "anchor": b.hashes[at]})
 
     return find
 
@@ -101,15 +127,13 @@ def _suffixes(length: int, block: int):
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parts: list[np.ndarray] = []  # a row of (doc_id, pos, block hashes) a suffix
-            for d, w, at in zip(pdf["doc_id"], pdf["w"], pdf["places"]):
-                h = block_hashes(w, block)
-                shared = np.zeros(len(h), bool)
-                shared[np.asarray(at)] = True
-                p = np.flatnonzero(shared[anchor_of(h, length - block + 1)])
-                parts.append(np.stack([np.full(len(p), d, np.int64), p, *(h[p + k * block] for k in range(depth))], axis=1))
-            rows = np.concatenate(parts) if parts else np.zeros((0, 2 + depth), np.int64)
-            yield pd.DataFrame(rows, columns=["doc_id", "pos", *(f"h{k}" for k in range(depth))])
+            b = _Batch(pdf, length, block)
+            shared = np.zeros(len(b.hashes) + 1, bool)
+            for start, at in zip(b.starts, pdf["places"]):
+                shared[start + np.asarray(at)] = True
+            p = np.flatnonzero(b.inside & shared[b.anchor])
+            doc, pos = b.place(p)
+            yield pd.DataFrame({"doc_id": doc, "pos": pos} | {f"h{k}": b.hashes[p + k * block] for k in range(depth)})
 
     return cut
 
