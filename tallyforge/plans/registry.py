@@ -37,11 +37,22 @@ def _typed(df: DataFrame, **types: str) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
-_KEY = r"""trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(X)), '\s*\((dba|d/b/a|fka|f/k/a|aka|a/k/a)\b[^)]*\)', '', 'g'), '\s*\([^)]*\)\s*$', '', 'g'), '[.,''`]', '', 'g'), '\s+&\s+', ' and ', 'g'), '\s+SUF$', '')), '\s+SUF$', '')), '\s+SUF$', '')), '\s+', ' ', 'g'))"""
-
-
-def _key_sql(col: str) -> str:
-    return _KEY.replace("SUF", fn.KEY_SUFFIX).replace("X", col)
+def _ending_sql(words: str) -> str:
+    """The number of last words of the list ``words`` that are an ending."""
+    several = {}
+    for e in fn.KEY_ENDINGS:
+        several.setdefault(e.count(" ") + 1, []).append(e)
+    cases = [f"WHEN len({words}) > {k} AND array_to_string({words}[-{k}:], ' ') IN ({', '.join(repr(e) for e in several[k])}) THEN {k}" for k in sorted(several, reverse=True)]
+    return "CASE " + " ".join(cases) + " ELSE 0 END"
+
+
+_KEYS = (
+    r"""WITH t AS (SELECT pos_id, regexp_replace(regexp_replace(lower(entity), '\s*\((?:dba|d/b/a|a/k/a|aka|fka|f/k/a)\b[^)]*\)', '', 'g'), '\s*\([^()]*\)\s*$', '') AS x FROM soi_position),
+w0 AS (SELECT pos_id, list_transform(list_filter(regexp_split_to_array(translate(x, '.,''`', ''), '\s+'), lambda w: w <> ''), lambda w: CASE WHEN w = '&' THEN 'and' ELSE w END) AS w FROM t),
+"""
+    + ", ".join(f"w{k + 1} AS (SELECT pos_id, w[1:len(w) - ({_ending_sql('w')})] AS w FROM w{k})" for k in range(fn.MOST_ENDINGS))
+    + " "
+)
 
 
 # --- marks, loans and books -----------------------------------------------------------------
@@ -434,7 +445,7 @@ def jn16_status(spark, sf):
 # --- text functions -------------------------------------------------------------------------
 
 
-@_query(f"SELECT pos_id, {_key_sql('entity')} AS key FROM soi_position")
+@_query(_KEYS + f"SELECT pos_id, array_to_string(w, ' ') AS key FROM w{fn.MOST_ENDINGS}")
 def fn15_borrower_key(spark, sf):
     return table(spark, sf, "soi_position").select("pos_id", fn.borrower_key(F.col("entity")).alias("key"))
 
@@ -448,14 +459,15 @@ def fn08_type(spark, sf):
     return table(spark, sf, "soi_position").select("pos_id", fn.security_type(F.col("type")).alias("bucket"))
 
 
-@_query(r"""SELECT pos_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(lower(e), '\s*\([^)]*\)', '', 'g'), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g')), '\b(inc|llc|lp|ltd|corp|corporation|holdings?|holdco|topco|midco|bidco|s a r l|gmbh|b v|ulc)\b\.?', '', 'g'), '\s+', ' ', 'g')) AS key
+@_query(f"""SELECT pos_id, array_to_string(list_filter(regexp_split_to_array(regexp_replace(lower(e), '\\([^)]*\\)', ' ', 'g'), '[^a-z0-9_]+'), lambda w: w <> '' AND w NOT IN {fn.ISSUER_WORDS}), ' ') AS key
 FROM (SELECT pos_id, regexp_replace(entity, '[^ -~]', '?', 'g') AS e FROM soi_position)""")
 def fn14_issuer_key(spark, sf):
     return table(spark, sf, "soi_position").select("pos_id", fn.issuer_key(F.regexp_replace("entity", r"[^ -~]", "?")).alias("key"))
 
 
-@_query(r"""SELECT pos_id, trim(regexp_extract(entity, '(?i)\((?:dba|d/b/a|a/k/a|aka)\s+([^)]+)\)', 1)) AS common,
-regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(entity, '(?i)\s*\((?:dba|d/b/a|a/k/a|aka|fka|f/k/a|formerly(?:\s+known\s+as)?)\s+[^)]*\)', '', 'g'), '(?i)\s*\((?:fka|f/k/a|formerly)\b.*$', '', 'g'), '\|.*$', '', 'g'), '\s[-–—]\s.*$', '', 'g'), '\s{2,}', ' ', 'g')), '[ |,]+$', '', 'g') AS legal FROM soi_position""")
+@_query(r"""WITH n AS (SELECT pos_id, entity, regexp_replace(entity, '(?i)\s*\((?:dba|d/b/a|a/k/a|aka|fka|f/k/a|formerly)\b[^)]*\)', '', 'g') AS x FROM soi_position)
+SELECT pos_id, trim(regexp_extract(entity, '(?i)\((?:dba|d/b/a|a/k/a|aka)\s+([^)]+)\)', 1)) AS common,
+regexp_replace(array_to_string(list_filter(regexp_split_to_array(regexp_split_to_array(x, '(?i)\||\s[-–—]\s|\s*\((?:fka|f/k/a|formerly)\b')[1], ' +'), lambda w: w <> ''), ' '), '[ |,]+$', '') AS legal FROM n""")
 def fn18_split_name(spark, sf):
     e = F.col("entity")
     return table(spark, sf, "soi_position").select("pos_id", fn.trade_name(e).alias("common"), fn.legal_name(e).alias("legal"))

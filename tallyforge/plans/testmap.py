@@ -57,15 +57,18 @@ def _cases(col, cases: dict):
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(bdc, entity, key, type, sector, fv, cost, par, spread, rate, base, mat_year, ccy, pik, ord, mark)."""
-    li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    j = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    # names, keys and types are worked out on the parts, a row each ending, not on the lines
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("_e"))
+    part = part.select(
+        "p_partkey", "_e", F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), _cases(F.col("_e"), _ENDINGS)).alias("entity"), security_type(_cases(F.col("p_type"), _TYPES)).alias("type")
+    ).withColumn("key", borrower_key(F.col("entity")))
+    j = table(spark, sf_dir, "lineitem").join(part, (F.col("l_partkey") == F.col("p_partkey")) & (F.col("l_suppkey") % 5 == F.col("_e")))
     whole = lambda c: F.floor(c + 0.5).cast("bigint")
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     price = F.col("l_extendedprice")
     p = j.select(
         F.concat(F.lit("F"), pad(F.col("l_suppkey") % 19, 2)).alias("bdc"),
-        F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), _cases(F.col("l_suppkey") % 5, _ENDINGS)).alias("entity"),
-        security_type(_cases(F.col("p_type"), _TYPES)).alias("type"),
+        "entity", "key", "type",
         F.when((F.col("l_suppkey") + F.col("l_partkey")) % 7 == 0, "Other").otherwise(_cases(F.col("p_partkey") % 5, _SECTORS)).alias("sector"),
         whole(price).alias("fv"),
         whole(price * (1 - F.col("l_discount"))).alias("cost"),
@@ -78,7 +81,6 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linestatus") == "O").alias("pik"),
         F.concat(pad(F.col("l_orderkey"), 12), pad(F.col("l_linenumber"), 3), pad(F.col("l_partkey"), 10), pad(F.col("l_suppkey"), 8), pad(whole(price * 100), 14), pad(F.col("l_quantity").cast("bigint"), 5)).alias("ord"),
     )
-    p = p.withColumn("key", borrower_key(F.col("entity")))
     return p.withColumn("mark", price_mark(F.col("fv"), F.col("cost"), F.col("par"), F.col("type")))
 
 
