@@ -159,32 +159,34 @@ def holdings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     )
     r = book(position_units(spark, sf_dir, soi), ("entity", "company"), "acq", "maturity").unionByName(book(html_units(html), ("issuer",), "acquisition_date", "maturity_date"))
     # a stated amount is exact to half of its last digit, in its unit
-    step = F.when(F.col("stated") == F.round("stated"), 0.5).when(F.col("stated") * 10 == F.round(F.col("stated") * 10), 0.05).when(F.abs(F.col("stated") * 100 - F.round(F.col("stated") * 100)) < 1e-6, 0.005).otherwise(0.0005)
+    whole = lambda x: F.rint(x) == x
+    step = F.when(whole(F.col("stated")), 0.5).when(whole(F.col("stated") * 10), 0.05).when(F.abs(F.col("stated") * 100 - F.rint(F.col("stated") * 100)) < 1e-6, 0.005).otherwise(0.0005)
     dollars = F.abs(F.col("amount") / F.when(F.col("stated") != 0, F.col("stated")))
     tol = AMOUNT_SHARE * F.abs("amount") + F.when(F.col("stated").isNotNull(), step * F.coalesce(dollars, "scale")).otherwise(F.lit(AMOUNT_LEAST))
     r = r.withColumn("tol", tol).withColumn("acq_month", F.substring("acq", 1, 7)).withColumn("mat_month", F.substring("maturity", 1, 7))
 
-    def key(tag: str, *cols: Column | str) -> Column:
+    def key(tag: int, *cols: str) -> Column:
         ok = F.lit(True)
         for c in cols:
-            ok &= (F.col(c) if isinstance(c, str) else c).isNotNull()
+            ok &= F.col(c).isNotNull()
         return F.when(ok, F.xxhash64(F.lit(tag), *cols))
 
     # a position lies in one bin; an HTML row probes all that the tolerances reach
     bins = F.when(F.col("src") == "soi_position", F.array(size_bin(F.col("amount")))).otherwise(size_probes(F.col("amount"), F.col("tol")))
-    bins = F.coalesce(F.filter(bins, lambda x: x.isNotNull()), F.array().cast("array<bigint>"))
-    r = r.withColumn("bins", bins)
-    own = F.array(key("acq", "acq_month", "label"), key("mat", "mat_month", "label"), key("acq+mat", "acq_month", "mat_month"), key("shares", "shares"), key("rates", "spread", "rate", "label"))
-    own = F.concat(F.transform("bins", lambda x: F.xxhash64(F.lit("fv"), x)), F.array_distinct(F.filter(own, lambda k: k.isNotNull())))
-    r = r.withColumn("own", own).withColumn("cell", F.xxhash64("bdc", F.col("period_end").cast("string")))
+    bins = F.coalesce(F.array_compact(bins), F.array().cast("array<bigint>"))
+    r = r.withColumn("bins", F.transform(bins, lambda x: F.xxhash64(x)))
+    own = F.array(key(1, "acq_month", "label"), key(2, "mat_month", "label"), key(3, "acq_month", "mat_month"), key(4, "shares"), key(5, "spread", "rate", "label"))
+    r = r.withColumn("own", F.concat("bins", F.array_compact(own))).withColumn("cell", F.xxhash64("bdc", "period_end"))
+    # hashes meet by exclusive or, so that each is worked out once a row
+    r = r.withColumn("cells", F.transform("who", lambda c: F.xxhash64("cell", c)))
     # within a borrower one attribute or two; whatever the name, amount and both months
-    named = F.flatten(F.transform("who", lambda c: F.transform("own", lambda k: F.xxhash64("cell", c, k))))
-    dated = F.col("acq_month").isNotNull() & F.col("mat_month").isNotNull()
-    terms = F.when(dated, F.transform("bins", lambda x: F.xxhash64(F.lit("terms"), "cell", x, "acq_month", "mat_month"))).otherwise(F.array().cast("array<bigint>"))
+    named = F.flatten(F.transform("cells", lambda c: F.transform("own", lambda k: c.bitwiseXOR(k))))
+    r = r.withColumn("terms", key(6, "cell", "acq_month", "mat_month"))
+    terms = F.when(F.col("terms").isNotNull(), F.transform("bins", lambda x: F.col("terms").bitwiseXOR(x))).otherwise(F.array().cast("array<bigint>"))
     r = r.withColumn("keys", F.concat(named, terms))
     # repeated records of one side state the same amount to three digits
     lead = F.pow(F.lit(10.0), F.floor(F.log10(F.abs("amount"))) - 2)
-    r = r.withColumn("twin", F.when(F.abs("amount") > 0, F.xxhash64(F.round(F.col("amount") / lead), lead)))
+    r = r.withColumn("twin", F.when(F.abs("amount") > 0, F.xxhash64(F.rint(F.col("amount") / lead), lead)))
     r = stored(r.select("src", F.col("row_id").alias("id"), "keys", "twin", "amount", "tol", "who", "label", "spread", "rate", "base", "pik", "shares", "acq", "maturity", "acq_month"))
     return r.where("src = 'soi_position'"), r.where("src = 'html_row'")
 
