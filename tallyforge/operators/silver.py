@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from tallyforge.functions.finance import half_up
 from tallyforge.functions.rules import Rules, first_rule
-from tallyforge.operators.portfolio import band_join
+from tallyforge.operators.portfolio import band_join, largest_gap
 from tallyforge.session import stored
 
 # Identifiers that are totals and cash, not holdings.
@@ -155,6 +155,20 @@ def handle(rows: DataFrame, by: str, handlers: dict[str, Handler], col: str = "i
     return out
 
 
+def drop_second_schedule(rows: DataFrame, group: str, place: str, targets: DataFrame, after: float = 0.015, before: float = 0.03, least: int = 50) -> DataFrame:
+    """``rows`` (group, place, fv) without those behind the widest gap of their group, where that makes the sum right.
+
+    A tail of ``least`` rows or more goes only if the sum is off the group's ``target`` by more than
+    ``before`` with it and by less than ``after`` without it. Ties of gaps take the first.
+    """
+    cut = largest_gap(rows, group, place).select(F.col(group).alias("_g"), "cut_after")
+    j = rows.join(cut, F.col(group) == F.col("_g"), "left").withColumn("_tail", F.coalesce(F.col(place) > F.col("cut_after"), F.lit(False)))
+    sums = j.groupBy(group).agg(F.sum("fv").alias("_all"), F.sum(F.when(~F.col("_tail"), F.col("fv"))).alias("_head"), F.sum(F.col("_tail").cast("int")).alias("_n"))
+    off = lambda c: F.abs(F.try_divide(F.col(c), F.col("target")) - 1)
+    two = sums.join(targets, group).where((off("_all") > before) & (off("_head") < after) & (F.col("_n") >= least)).select(F.col(group).alias("_two"))
+    return j.join(two, F.col(group) == F.col("_two"), "left").where(~(F.col("_tail") & F.col("_two").isNotNull())).select(*rows.columns)
+
+
 # --- enrichment ---------------------------------------------------------------------------
 
 

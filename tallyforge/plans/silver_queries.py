@@ -507,3 +507,99 @@ def agg25_stated_columns(spark, sf):
         any_ |= F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != ""
     h = table(spark, sf, "html_row").where("fair_value <> 0 and not (coalesce(cost, 0) = 0 and coalesce(principal, 0) = 0)")
     return h.groupBy("bdc").agg(F.count("*").alias("eligible"), F.floor(F.count(F.when(any_, 1)).cast("double") / F.count("*") * 10000 + 0.5).cast("double").alias("r")).select("bdc", "eligible", (F.col("r") / 10000).alias("rate"))
+
+
+# --- audits ---------------------------------------------------------------------------------
+
+# What entities and sectors hold that are no such.
+_ENTITY_BAD = (
+    "Investment Debt Investments", "non-controlled/non-affiliated", "Non-Controlled/Non-Affiliated", "Debt Investments", "Equity Investments",
+    "Warrant Investments", "United States", "Investments-", "Investments  -",
+)
+_SECTOR_BAD = ("(continued)", "(cont.)", "Holdings, LLC", "Investments-")
+_SECTOR_LABELS = ("Investments", "Investment", "Interest", "Rate", "Coupon", "Maturity", "Cost", "Fair Value", "Notes", "Shares", "Units")
+
+
+def _has(c: str, texts) -> str:
+    return "(" + " OR ".join(f"contains({c}, '{t}')" for t in texts) + ")"
+
+
+_E, _S = "trim(coalesce(entity, ''))", "trim(coalesce(sector, ''))"
+_ENTITY_CODES = {
+    "ENTITY_EMPTY": f"{_E} = ''", "ENTITY_POLLUTED": _has(_E, _ENTITY_BAD), "ENTITY_SUFFIX_ONLY": f"{_E} IN ('Inc', 'LLC', 'L.P.', 'Ltd', 'Corp')",
+    "ENTITY_HAS_PERCENT": f"contains({_E}, '%') AND contains({_E}, '(')", "ENTITY_TOO_SHORT": f"length({_E}) < 3",
+}
+_SECTOR_CODES = {
+    "SECTOR_HEADER_LABEL": f"{_S} IN ({', '.join(repr(x) for x in _SECTOR_LABELS)})", "SECTOR_POLLUTED": _has(_S, _SECTOR_BAD), "SECTOR_HAS_PERCENT": f"contains({_S}, '%')",
+    "SECTOR_CONTINUED": f"contains(lower({_S}), '(continued)')",
+}
+_NUMBER_CODES = {"MARK_EXTREME": "fv <> 0 AND abs(cost) >= 50000 AND (mark > 5000 OR mark < -100)", "FV_LARGE_NEGATIVE": "fv < -1000000.0", "RATE_EXTREME": "rate > 50"}
+_CODES = {**_ENTITY_CODES, **_SECTOR_CODES, **_NUMBER_CODES}
+
+
+def _first_code(codes) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{k}'" for k, c in codes.items()) + " END"
+
+
+@_query(
+    f"WITH i AS (SELECT bdc, {_first_code(_ENTITY_CODES)} AS issue FROM soi_position UNION ALL SELECT bdc, {_first_code(_SECTOR_CODES)} FROM soi_position"
+    + "".join(f" UNION ALL SELECT bdc, '{k}' FROM soi_position WHERE {c}" for k, c in _NUMBER_CODES.items())
+    + ") SELECT bdc, issue, CAST(count(*) AS BIGINT) AS n FROM i WHERE issue IS NOT NULL GROUP BY ALL"
+)
+def agg28_issue_codes(spark, sf):
+    # of entities and of sectors the first code counts, of numbers each
+    found = F.array(F.expr(_first_code(_ENTITY_CODES)), F.expr(_first_code(_SECTOR_CODES)), *[F.when(F.expr(c), F.lit(k)) for k, c in _NUMBER_CODES.items()])
+    i = _soi(spark, sf).select("bdc", F.explode(F.array_compact(found)).alias("issue"))
+    return i.groupBy("bdc", "issue").agg(F.count("*").alias("n"))
+
+
+_OFF = "WITH t AS (SELECT bdc, sum(CAST(floor(fv) AS BIGINT)) AS fv FROM soi_position WHERE NOT coalesce(isnan(fv), false) GROUP BY 1), b AS (SELECT ticker, sum(portfolio_fv) AS v FROM balance_sheet GROUP BY 1), d AS (SELECT abs(CAST(fv AS DOUBLE) / v - 1) * 100 AS o FROM t JOIN b ON b.ticker = bdc WHERE v > 0) "
+
+
+@_query(_OFF + "SELECT CAST(count(*) AS BIGINT) AS funds, CAST(count(*) FILTER (WHERE o <= 1) AS BIGINT) AS within_1, CAST(count(*) FILTER (WHERE o <= 5) AS BIGINT) AS within_5, CAST(count(*) FILTER (WHERE o > 20) AS BIGINT) AS bad FROM d")
+def agg33_within_reported(spark, sf):
+    t = _soi(spark, sf).where(~F.coalesce(F.isnan("fv"), F.lit(False))).groupBy("bdc").agg(F.sum(F.floor("fv").cast("bigint")).alias("fv"))
+    b = table(spark, sf, "balance_sheet").groupBy(F.col("ticker").alias("bdc")).agg(F.sum("portfolio_fv").alias("v")).where("v > 0")
+    d = t.join(b, "bdc").select((F.abs(F.col("fv").cast("double") / F.col("v") - 1) * 100).alias("o"))
+    n = lambda c: F.count(F.when(c, 1))
+    return d.agg(F.count("*").alias("funds"), n(F.col("o") <= 1).alias("within_1"), n(F.col("o") <= 5).alias("within_5"), n(F.col("o") > 20).alias("bad"))
+
+
+@_query("SELECT DISTINCT entity FROM soi_position WHERE entity IS NOT NULL AND entity NOT IN (SELECT issuer FROM html_row WHERE issuer IS NOT NULL) AND entity NOT IN (SELECT issuer FROM documents WHERE issuer IS NOT NULL)")
+def jn17_neither_listed_nor_cached(spark, sf):
+    names = _soi(spark, sf).where("entity is not null").select("entity").distinct()
+    for t in ("html_row", "documents"):
+        names = names.join(table(spark, sf, t).select(F.col("issuer").alias("entity")).distinct(), "entity", "left_anti")
+    return names
+
+
+@_query("WITH d AS (SELECT DISTINCT accession, identifier, affil, floor(fv / 1000 + 0.5) AS v FROM soi_position WHERE fv IS NOT NULL AND NOT isnan(fv)) SELECT coalesce(affil, '') AS affil, identifier IS NOT NULL AS named, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(v AS BIGINT)) AS BIGINT) AS fv_k FROM d GROUP BY ALL")
+def agg31_values_by_dimension(spark, sf):
+    d = _soi(spark, sf).where("fv is not null and not isnan(fv)").select("accession", "identifier", "affil", F.floor(F.col("fv") / 1000 + 0.5).cast("bigint").alias("v")).distinct()
+    return d.groupBy(F.coalesce("affil", F.lit("")).alias("affil"), F.col("identifier").isNotNull().alias("named")).agg(F.count("*").alias("n"), F.sum("v").alias("fv_k"))
+
+
+@_query("""WITH g AS (SELECT entity, sum(CASE WHEN isnan(fv) THEN 0 ELSE CAST(floor(fv) AS BIGINT) END) AS fv, CAST(count(DISTINCT bdc) AS BIGINT) AS funds, max(length(descr)) AS longest,
+ arg_min(sector, pos_id) FILTER (WHERE trim(coalesce(sector, '')) <> '') AS sector, arg_max(company, pos_id) FILTER (WHERE trim(coalesce(company, '')) <> '') AS brand FROM soi_position WHERE entity IS NOT NULL GROUP BY 1)
+SELECT entity, CAST(fv AS BIGINT) AS fv, funds, CAST(longest AS BIGINT) AS longest, sector, brand FROM g""")
+def agg29_picks(spark, sf):
+    v = F.when(F.isnan("fv"), 0).otherwise(F.floor("fv")).cast("bigint")
+    told = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
+    g = _soi(spark, sf).where("entity is not null").groupBy("entity").agg(
+        F.sum(v).alias("fv"), F.count_distinct("bdc").alias("funds"), F.max(F.length("descr")).cast("bigint").alias("longest"),
+        F.min_by("sector", F.when(told("sector"), F.col("pos_id"))).alias("sector"), F.max_by("company", F.when(told("company"), F.col("pos_id"))).alias("brand"),
+    )
+    return g
+
+
+@_query("""WITH s AS (SELECT bdc, row_id AS place, CAST(floor(fair_value) AS BIGINT) AS fv FROM html_row WHERE NOT isnan(fair_value)),
+g AS (SELECT bdc, place, lead(place) OVER (PARTITION BY bdc ORDER BY place) - place AS gap FROM s),
+c AS (SELECT bdc, place AS cut FROM g WHERE gap IS NOT NULL QUALIFY row_number() OVER (PARTITION BY bdc ORDER BY gap DESC, place) = 1),
+t AS (SELECT bdc, sum(fv) AS al, sum(CASE WHEN place <= cut THEN fv END) AS head, count(*) FILTER (WHERE place > cut) AS n FROM s JOIN c USING (bdc) GROUP BY 1),
+two AS (SELECT bdc FROM t WHERE abs(al / CAST(floor(al * 0.9) AS DOUBLE) - 1) > 0.03 AND abs(head / CAST(floor(al * 0.9) AS DOUBLE) - 1) < 0.5 AND n >= 5)
+SELECT s.bdc, CAST(count(*) AS BIGINT) AS n FROM s JOIN c USING (bdc) WHERE NOT (place > cut AND s.bdc IN (SELECT bdc FROM two)) GROUP BY 1""")
+def win03_second_schedule(spark, sf):
+    # the sum is asked to be a tenth less than it is
+    s = table(spark, sf, "html_row").where("fair_value is not null and not isnan(fair_value)").select("bdc", F.col("row_id").alias("place"), F.floor("fair_value").cast("bigint").alias("fv"))
+    target = s.groupBy("bdc").agg(F.floor(F.sum("fv") * 0.9).cast("double").alias("target"))
+    return sv.drop_second_schedule(s, "bdc", "place", target, after=0.5, least=5).groupBy("bdc").agg(F.count("*").alias("n"))

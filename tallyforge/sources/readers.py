@@ -6,6 +6,11 @@ enough to be used again.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,18 +64,47 @@ def read_contexts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_facts(spark: SparkSession, path: str, concepts: dict[str, str] = CONCEPTS) -> DataFrame:
-    """(source, context_id, concept, value, unit): the numeric facts of the given concepts."""
+    """(source, context_id, concept, value, unit, doc_order): the numeric facts of the given concepts.
+
+    ``doc_order`` orders the facts of one concept as the document has them.
+    """
     out = None
     for tag, name in concepts.items():
         x = spark.read.format("xml").option("rowTag", tag).schema(FACT_SCHEMA).load(path).withColumn("source", F.input_file_name())
-        x = x.select("source", F.col("_contextRef").alias("context_id"), F.lit(name).alias("concept"), F.expr("try_cast(_VALUE as double)").alias("value"), F.col("_unitRef").alias("unit"))
+        x = x.select("source", F.col("_contextRef").alias("context_id"), F.lit(name).alias("concept"), F.expr("try_cast(_VALUE as double)").alias("value"), F.col("_unitRef").alias("unit"), F.struct(F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("n")).alias("doc_order"))
         out = x if out is None else out.unionByName(x)
     return out.where("value is not null")
 
 
-def pivot_facts(facts: DataFrame, order: str = "value") -> DataFrame:
-    """One row a context with a column a concept; of several facts the last by ``order``."""
-    return facts.groupBy("source", "context_id").pivot("concept", sorted(set(CONCEPTS.values()))).agg(F.max_by("value", order))
+def document_order(spark: SparkSession, path: str) -> DataFrame:
+    """(source, context_id, doc_order): where inline documents first name each context, in bytes."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for source, content in zip(pdf["path"], pdf["content"]):
+                first: dict[bytes, int] = {}
+                for m in re.finditer(rb"""contextRef\s*=\s*["']([^"']+)["']""", content):
+                    first.setdefault(m[1], m.start())
+                rows += [(source, c.decode("utf-8", "replace"), at) for c, at in first.items()]
+            yield pd.DataFrame(rows, columns=["source", "context_id", "doc_order"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(scan, "source string, context_id string, doc_order bigint")
+
+
+def pivot_facts(facts: DataFrame, order: str) -> DataFrame:
+    """One row a context with a column a concept; of several facts the last by ``order``, of equals there the larger."""
+    last = facts.groupBy("source", "context_id", "concept").agg(F.max(F.struct(F.col(order).alias("at"), "value"))["value"].alias("value"))
+    return last.groupBy("source", "context_id").pivot("concept", sorted(set(CONCEPTS.values()))).agg(F.first("value"))
+
+
+def read_dimension(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A small JSON table of a known schema; empty where there is none."""
+    try:
+        return spark.read.schema(schema).json(path, multiLine=True)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
 
 
 def allowed_dims(dims: Column, allowed: list[str]) -> Column:

@@ -39,7 +39,7 @@ def test_contexts_and_facts(spark, file):
     assert (c["c2"].period_kind, c["c2"].dims) == ("duration", {})
     f = rd.read_facts(spark, p, {k: v for k, v in rd.CONCEPTS.items() if v in ("fv", "cost")})
     assert sorted((r.concept, r.value) for r in f.collect()) == [("cost", 99.0), ("fv", 100.5)]
-    w = rd.pivot_facts(f).first()
+    w = rd.pivot_facts(f, "doc_order").first()
     assert (w.fv, w.cost, w.par) == (100.5, 99.0, None)
     ok = rd.read_contexts(spark, p).where(rd.allowed_dims(F.col("dims"), ["us-gaap:InvestmentTypeAxis"]))
     assert [r.context_id for r in ok.collect()] == ["c2"]
@@ -94,3 +94,18 @@ def test_round_trip(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "p")).select("ticker", "v").collect()) == [("A", 1), ("B", 2)]
     rd.write_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
+
+
+def test_last_fact_in_the_document_counts(spark, file):
+    one = lambda v: f'<us-gaap:InvestmentOwnedAtFairValue contextRef="c1" unitRef="usd">{v}</us-gaap:InvestmentOwnedAtFairValue>'
+    p = file("twice.xml", "<xbrl>" + one(900) + one(5) + "</xbrl>")
+    f = rd.read_facts(spark, p, {"us-gaap:InvestmentOwnedAtFairValue": "fv"})
+    assert rd.pivot_facts(f, "doc_order").first().fv == 5.0 and rd.pivot_facts(f, "value").first().fv == 900.0
+
+
+def test_document_order_and_dimensions(spark, file):
+    p = file("inline.htm", '<p><ix contextRef="b">1</ix><ix contextRef = \'a\'>2</ix><ix contextRef="b">3</ix></p>')
+    got = {r.context_id: r.doc_order for r in rd.document_order(spark, p).collect()}
+    assert set(got) == {"a", "b"} and got["b"] < got["a"]
+    assert rd.read_dimension(spark, p + ".none", "name string").count() == 0
+    assert [r.name for r in rd.read_dimension(spark, file("d.json", '[{"name": "x"}]'), "name string").collect()] == ["x"]
