@@ -109,3 +109,26 @@ def test_document_order_and_dimensions(spark, file):
     assert set(got) == {"a", "b"} and got["b"] < got["a"]
     assert rd.read_dimension(spark, p + ".none", "name string").count() == 0
     assert [r.name for r in rd.read_dimension(spark, file("d.json", '[{"name": "x"}]'), "name string").collect()] == ["x"]
+
+
+def _table(*rows):
+    return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+
+
+def test_region_header_and_sections_of_a_schedule():
+    from tallyforge.sources.html_tables import merged_header, walk
+
+    head = [("Portfolio", "Principal", "", ""), ("Company", "", "Amortized Cost", "Fair Value")]
+    html = (
+        "<p>Contents</p>" + _table(("Issuer", "Cost"), ("Decoy", "1"))
+        + "<h2>Schedule of Investments</h2><p>Health Care</p>"
+        + _table(*head, ("Controlled affiliates", "", "", ""), ("First lien debt", "", "", ""), ("Alder LLC", "0", "5", "6"), ("", "2", "0", "7"), ("Total", "2", "5", "13"))
+        + "<p>Notes to the statements</p>" + _table(("Company", "Cost"), ("Later", "9"))
+    )
+    got = list(walk(html, 10.0, anchor="Schedule of Investments", end="Notes to", sectors=("Health", "Health Care")))
+    assert [(r["issuer"], r["sector"], r["affiliation"], r["investment_type"], r["principal"], r["cost"], r["fair_value"]) for r in got] == [
+        ("Alder LLC", "Health Care", "Controlled affiliates", "First lien debt", None, 50.0, 60.0), ("Alder LLC", "Health Care", "Controlled affiliates", "First lien debt", 20.0, None, 70.0)
+    ]
+    assert list(walk(html, anchor="No such heading")) == []
+    cells = lambda *t: [(k, 1, x) for k, x in enumerate(t)]
+    assert merged_header([cells("Company", "Cost", "Cost")]) == ({(0, 1): "company", (1, 2): "cost", (2, 3): "fair_value"}, 1)
