@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,12 +26,11 @@ def one_space(c: Column) -> Column:
     return F.regexp_replace(outer_trim(c), r"(?U)\s+", " ")
 
 
+# one match that fails at the first letter of most texts, instead of cleaning each text first
+_WORDS = "|".join(r"\s+".join(re.escape(w) for w in words.split(" ")) for words in MISSING_WORDS)
+_MISSING = rf"(?iU)^[\s\u200b\ufeff]*(?:[-–—―‒?._*/\\]+|{_WORDS})?[\s\u200b\ufeff]*$"
+
+
 def is_missing(c: Column) -> Column:
     """True where ``c`` is null, blank, or only says that nothing is given."""
-    t = F.lower(one_space(c))
-    return (
-        c.isNull()
-        | (t == "")
-        | t.rlike(r"^[-–—―‒?._*/\\]+$")
-        | t.isin(*MISSING_WORDS)
-    )
+    return c.isNull() | c.rlike(_MISSING)
