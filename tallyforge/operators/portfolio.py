@@ -7,6 +7,8 @@ aggregation before they shuffle; joins on a tolerance meet on bins of the value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -54,13 +56,16 @@ def largest_gap(rows: DataFrame, group: str, place: str) -> DataFrame:
 # --- merging and consensus ----------------------------------------------------------------
 
 
-def merge_tranches(p: DataFrame) -> DataFrame:
-    """One row for the tranches of a fund that differ in amounts only; the rest from the first."""
+def merge_tranches(p: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """One row for the tranches of a fund that differ in amounts only; the rest from the first.
+
+    ``within`` are columns of which a name has one value; rows that lie together by them stay there.
+    """
     rate_key = F.when(F.col("spread").isNotNull(), F.lit("")).otherwise(F.coalesce(F.col("rate").cast("string"), F.lit("")))
     k = p.withColumn("_name", F.lower(F.trim("entity"))).withColumn("_neg", F.col("fv") < 0).withColumn("_rate", rate_key)
-    g = k.groupBy("bdc", "_name", "type", "_neg", "mat_year", "_rate", "spread", "base", "ccy").agg(
+    g = k.groupBy("bdc", "_name", "type", "_neg", "mat_year", "_rate", "spread", "base", "ccy", *within).agg(
         F.sum("fv").alias("fv"), F.sum("cost").alias("cost"), F.sum("par").alias("par"), F.count("*").alias("n"),
-        F.min_by(F.struct("entity", "sector", "pik", "mark", "rate"), "ord").alias("f"), F.min("ord").alias("ord"),
+        F.min_by(F.struct("entity", "sector", "mark"), "ord").alias("f"), F.min("ord").alias("ord"),
     )
     price = F.try_divide(F.col("fv"), F.col("par")) * 100
     merged = F.when((price > 0) & (price <= 130), half_up(price, 2)).otherwise(half_up(F.try_divide(F.col("fv"), F.col("cost")) * 100, 2))

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from tallyforge.functions import finance as fn
 from tallyforge.functions.text import one_space
 from tallyforge.operators import portfolio as op
-from tallyforge.plans.testmap import POSITION_CTE, positions
+from tallyforge.plans.testmap import POSITION_CTE, positions, told_by_name
 from tallyforge.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,7 +166,7 @@ SELECT bdc, entity, type, sector, CAST(fv AS BIGINT) AS fv, CAST(cost AS BIGINT)
 FROM g"""
 )
 def agg07_tranche_merge(spark, sf):
-    return op.merge_tranches(positions(spark, sf))
+    return op.merge_tranches(positions(spark, sf, part=True), told_by_name(spark, sf))
 
 
 _CONS = (

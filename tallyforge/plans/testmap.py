@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.finance import borrower_key, half_up, price_mark, security_type
-from tallyforge.session import table
+from tallyforge.session import broadcast_within, table
 
 _TYPES = {
     "PROMO": "Second lien loan", "STANDARD": "First lien senior secured loan", "ECONOMY": "Unitranche loan",
@@ -55,18 +55,37 @@ def _cases(col, cases: dict):
     return out
 
 
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(bdc, entity, key, type, sector, fv, cost, par, spread, rate, base, mat_year, ccy, pik, ord, mark)."""
-    # names, keys and types are worked out on the parts, a row each ending, not on the lines
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("_e"))
-    part = part.select(
-        "p_partkey", "_e", F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), _cases(F.col("_e"), _ENDINGS)).alias("entity"), security_type(_cases(F.col("p_type"), _TYPES)).alias("type")
-    ).withColumn("key", borrower_key(F.col("entity")))
-    j = table(spark, sf_dir, "lineitem").join(part, (F.col("l_partkey") == F.col("p_partkey")) & (F.col("l_suppkey") % 5 == F.col("_e")))
+#: Parts of which the names are broadcast; more meet their lines by a shuffle.
+MAX_PARTS = 50_000
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+
+
+def told_by_name(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The columns of ``positions(..., part=True)`` that each entity and key has one value of.
+
+    A plain name is followed by its part's number, which is then the last word of the key, too.
+    """
+    return ["part"] if _parts(spark, sf_dir).where(r"p_name is null or p_name rlike '[^A-Za-z0-9 -]'").isEmpty() else []
+
+
+def positions(spark: SparkSession, sf_dir: str, part: bool = False) -> DataFrame:
+    """(bdc, entity, key, type, sector, fv, cost, par, spread, rate, base, mat_year, ccy, pik, ord, mark); with ``part``, its number too."""
+    # names, keys and types are worked out on the parts, not on the lines; one of the endings holds for a line
+    known = broadcast_within(_parts(spark, sf_dir), MAX_PARTS)
+    names = [F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string"), F.lit(_ENDINGS[e])) for e in sorted(_ENDINGS)]
+    known = known.select("p_partkey", F.array(*names).alias("_names"), F.array(*[borrower_key(n) for n in names]).alias("_keys"), security_type(_cases(F.col("p_type"), _TYPES)).alias("type"))
+    ending = F.col("l_suppkey") % 5
+    ending = F.when(ending.between(0, 3), ending).otherwise(4).cast("int")
+    j = table(spark, sf_dir, "lineitem").join(known, F.col("l_partkey") == F.col("p_partkey"))
+    j = j.withColumns({"entity": F.get("_names", ending), "key": F.get("_keys", ending)})
     whole = lambda c: F.floor(c + 0.5).cast("bigint")
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     price = F.col("l_extendedprice")
     p = j.select(
+        *([F.col("l_partkey").alias("part")] if part else []),
         F.concat(F.lit("F"), pad(F.col("l_suppkey") % 19, 2)).alias("bdc"),
         "entity", "key", "type",
         F.when((F.col("l_suppkey") + F.col("l_partkey")) % 7 == 0, "Other").otherwise(_cases(F.col("p_partkey") % 5, _SECTORS)).alias("sector"),
@@ -84,4 +103,4 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("mark", price_mark(F.col("fv"), F.col("cost"), F.col("par"), F.col("type")))
 
 
-__all__ = ["POSITION_CTE", "half_up", "positions"]
+__all__ = ["POSITION_CTE", "half_up", "positions", "told_by_name"]
