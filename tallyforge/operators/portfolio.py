@@ -131,10 +131,13 @@ def mark_delta(p: DataFrame, material: int = 2000, least_total: int = 500, least
     )
 
 
-def books(p: DataFrame) -> DataFrame:
-    """Per fund and borrower: sums of value, cost and par, and the first row's name, sector and type."""
+def books(p: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Per fund and borrower: sums of value, cost and par, and the first row's name, sector and type.
+
+    ``within`` are columns of which a key has one value; rows that lie together by them stay there.
+    """
     x = p.where(F.coalesce("fv", F.lit(0)) != 0)
-    g = x.groupBy("bdc", "key").agg(F.sum("fv").alias("fv"), F.sum("cost").alias("cost"), F.sum("par").alias("par"), F.min_by(F.struct("entity", "sector", "type"), "ord").alias("f"))
+    g = x.groupBy("bdc", "key", *within).agg(F.sum("fv").alias("fv"), F.sum("cost").alias("cost"), F.sum("par").alias("par"), F.min_by(F.struct("entity", "sector", "type"), "ord").alias("f"))
     return g.select("bdc", "key", "fv", "cost", "par", F.col("f.entity").alias("name"), "f.sector", "f.type")
 
 

@@ -88,7 +88,7 @@ def agg19_mark_delta(spark, sf):
 
 @_query(POSITION_CTE + "SELECT bdc, key, CAST(sum(fv) AS BIGINT) AS fv, CAST(sum(cost) AS BIGINT) AS cost, CAST(sum(par) AS BIGINT) AS par, arg_min(entity, ord) AS name, arg_min(sector, ord) AS sector, arg_min(type, ord) AS type FROM pos WHERE fv <> 0 GROUP BY bdc, key")
 def agg21_books(spark, sf):
-    return op.books(positions(spark, sf))
+    return op.books(positions(spark, sf, part=True), told_by_name(spark, sf))
 
 
 @_query(
