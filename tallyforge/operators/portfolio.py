@@ -159,14 +159,26 @@ def overlap_matrix(book: DataFrame, funds: list[str]) -> DataFrame:
     return m.join(o.groupBy("fund_a").agg(F.max("shared_fv").alias("row_max")), "fund_a")
 
 
-def borrower_index(p: DataFrame) -> DataFrame:
-    """One row a borrower: its most used name, sector, value, number of funds and positions."""
-    x = p.where("key <> ''")
-    longest = Window.partitionBy("key").orderBy(F.desc("n"), F.desc(F.length("entity")), "o")
-    name = x.groupBy("key", "entity").agg(F.count("*").alias("n"), F.min("ord").alias("o")).withColumn("r", F.row_number().over(longest)).where("r = 1").select("key", F.col("entity").alias("name"))
-    sector = weighted_choice(x.where("sector <> 'Other'"), "key", "sector", F.lit(1), "ord").select("key", "sector")
-    tot = x.groupBy("key").agg(F.sum("fv").alias("fv"), F.count_distinct("bdc").alias("funds"), F.count("*").alias("positions"))
-    return tot.join(name, "key").join(sector, "key", "left").select("key", "name", F.coalesce("sector", F.lit("Other")).alias("sector"), "fv", "funds", "positions")
+def borrower_index(p: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """One row a borrower: its most used name, sector, value, number of funds and positions.
+
+    ``within`` are columns of which a key has one value; rows that lie together by them stay there.
+    The rows are read once, as spellings with their sectors; a spelling carries the set of its funds.
+    """
+    g = p.where("key <> ''").groupBy("key", *within, "entity", "sector").agg(
+        F.count("*").alias("n"), F.sum("fv").alias("fv"), F.min("ord").alias("o"), F.collect_set("bdc").alias("funds")
+    )
+    if not within:
+        g = g.repartition("key")
+    name, sector = (Window.partitionBy("key", *within, c) for c in ("entity", "sector"))
+    g = g.select("*", F.sum("n").over(name).alias("name_n"), F.min("o").over(name).alias("name_o"), F.sum("n").over(sector).alias("sector_n"), F.min("o").over(sector).alias("sector_o"))
+    longest = F.struct(-F.col("name_n"), F.coalesce(-F.length("entity"), F.lit(1)), "name_o")
+    known = F.when(F.col("sector") != "Other", F.struct(-F.col("sector_n"), "sector_o"))
+    r = g.groupBy("key", *within).agg(
+        F.min_by("entity", longest).alias("name"), F.min_by("sector", known).alias("sector"), F.sum("fv").alias("fv"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("funds")))).cast("bigint").alias("funds"), F.sum("n").alias("positions"),
+    )
+    return r.select("key", "name", F.coalesce("sector", F.lit("Other")).alias("sector"), "fv", "funds", "positions")
 
 
 def search(index: DataFrame, query: str, limit: int = 60) -> DataFrame:

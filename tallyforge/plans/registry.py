@@ -129,7 +129,7 @@ ix AS (SELECT key, name, coalesce(sector, 'Other') AS sector, CAST(fv AS BIGINT)
 
 @_query(_INDEX + "SELECT * FROM ix")
 def agg22_borrower_index(spark, sf):
-    return op.borrower_index(positions(spark, sf))
+    return op.borrower_index(positions(spark, sf, part=True), told_by_name(spark, sf))
 
 
 @_query(_INDEX + "SELECT * FROM ix WHERE contains(lower(name || ' ' || key), 'red') AND contains(lower(name || ' ' || key), 'llc') ORDER BY fv DESC, key LIMIT 60")
