@@ -134,7 +134,7 @@ def agg22_borrower_index(spark, sf):
 
 @_query(_INDEX + "SELECT * FROM ix WHERE contains(lower(name || ' ' || key), 'red') AND contains(lower(name || ' ' || key), 'llc') ORDER BY fv DESC, key LIMIT 60")
 def sch01_search(spark, sf):
-    return op.search(op.borrower_index(positions(spark, sf)), "LLC red")
+    return op.search(op.borrower_index(positions(spark, sf, part=True), told_by_name(spark, sf)), "LLC red")
 
 
 @_query(_INDEX + "SELECT * FROM ix WHERE key = 'red widget 1'")

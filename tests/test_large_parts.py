@@ -16,7 +16,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(("name", "exchanges"), [("agg07_tranche_merge", 2), ("agg21_books", 2), ("agg22_borrower_index", 2)])
+@pytest.mark.parametrize(("name", "exchanges"), [("agg07_tranche_merge", 2), ("agg21_books", 2), ("agg22_borrower_index", 2), ("sch01_search", 2)])
 def test_many_parts(spark, monkeypatch, name, exchanges):
     few = entry.queries()[name](spark, WHERE)
     monkeypatch.setattr(testmap, "MAX_PARTS", 10)
