@@ -2,7 +2,7 @@
 
 Sizes are tokens of a public tokenizer. Tokens are summed per cell of (source, language,
 topic), a small table whatever the corpus; languages are the base codes, topics are clusters of
-words, fitted on a bounded sample and told of every document. Iterative proportional fitting rakes the cells'
+words, fitted on all documents. Iterative proportional fitting rakes the cells'
 weights in turn to the source, language and topic marginals, never above what a cell can
 give at its source's repeat cap. A cell's weight over its size is the number of times that
 its documents are used on average: each is used the whole part of it, and the rest by a
@@ -35,34 +35,32 @@ from tallyforge.session import checkpointed, stored
 MAX_CELLS = 100_000
 BUCKETS = 4096
 
-#: Documents on which the topics are fitted: those of the smallest hashes, so that any order of rows gives the same.
-TOPIC_SAMPLE = 5_000
 #: Topics, and the size of the table that words are hashed to.
 TOPICS, FEATURES = 8, 4_096
 
 
-def with_topics(docs: DataFrame, sample: int = TOPIC_SAMPLE, topics: int = TOPICS) -> DataFrame:
+def with_topics(docs: DataFrame, topics: int = TOPICS) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``topic``, the nearest of the clusters of their words.
 
-    The clusters (bisecting k-means over words weighted by their rarity) are fitted on ``sample`` documents
-    and told of every document; ``none`` are texts without a word.
+    The clusters (bisecting k-means over words weighted by their rarity) are fitted on every document with a
+    word; ``none`` are texts without one.
     """
     words = F.filter(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0)), lambda w: F.length(w) < 40)
     words = F.coalesce(words, F.array().cast("array<string>")).alias("_words")
-    told = docs.where(F.col("text").rlike(r"\p{L}{3}")).select("text", F.xxhash64("doc_id", "text").alias("_h"))
-    few = stored(told.orderBy("_h").limit(sample).select(words))
+    count = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=FEATURES)
+    # the fit reads its input several times
+    told = stored(count.transform(docs.select(words).where(F.size("_words") > 0)).select("_tf"))
     d = docs.select("*", words)
-    if few.isEmpty():
+    if told.isEmpty():
         return d.withColumn("topic", F.lit("none")).drop("_words")
     model = Pipeline(
         stages=[
-            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=FEATURES),
             IDF(inputCol="_tf", outputCol="_idf", minDocFreq=2),
             Normalizer(inputCol="_idf", outputCol="_unit"),
             BisectingKMeans(featuresCol="_unit", predictionCol="_topic", k=topics, seed=7, maxIter=15),
         ]
-    ).fit(few)
-    out = model.transform(d)
+    ).fit(told)
+    out = model.transform(count.transform(d))
     topic = F.when(F.size("_words") == 0, "none").otherwise(F.concat(F.lit("t"), F.col("_topic").cast("string")))
     return out.withColumn("topic", topic).drop("_words", "_tf", "_idf", "_unit", "_topic")
 

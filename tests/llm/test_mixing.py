@@ -36,6 +36,18 @@ def test_topics_part_texts(spark):
     assert {r.topic for r in with_topics(df.where("doc_id > 899")).collect()} == {"none"}
 
 
+def test_topics_are_of_all_documents(spark):
+    # the texts about gardens have none of the 5,000 least hashes
+    df = spark.range(5_400).select("id", F.concat(F.lit("the loan bears interest and the lender waives covenant number "), F.col("id") % 7).alias("text"))
+    late = spark.range(10_000, 30_000).select("id", F.concat(F.lit("roses and tulips flower beside the garden hedge row "), F.col("id") % 7).alias("text"))
+    h = F.xxhash64("id", "text")
+    last = df.select(h.alias("h")).orderBy("h").limit(5_000).agg(F.max("h")).first()[0]
+    df = df.unionByName(late.where(h > last).limit(300)).withColumnRenamed("id", "doc_id")
+    rows = with_topics(df, topics=2).collect()
+    loans, gardens = ({r.topic for r in rows if ("loan" in r.text) == k} for k in (True, False))
+    assert len(rows) == 5_700 and len(loans) == len(gardens) == 1 and loans != gardens
+
+
 @pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no tokenizer file")
 def test_shares_and_repeats(spark):
     docs = [(i, f"the loan number {i} pays interest " * (1 + i % 3), ["en", "de", None, "en-XX"][i % 4], "big") for i in range(3000)]
