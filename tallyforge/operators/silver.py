@@ -188,18 +188,77 @@ def classify(rows: DataFrame, exact: DataFrame, fallback: Rules, boxes: Rules, d
     return r.select("*", "_c.class", "_c.how").drop("_c", "_exact")
 
 
+#: A row that meets so many others at most is compared with each; more are told apart by the words they share.
+FEW_MET = 64
+#: A word that more than this share of the rows has is common, the most frequent ``MAX_COMMON`` at most; so many
+#: common words of a name are matched as sets, a longer name is compared with each row it meets.
+COMMON_SHARE, MAX_COMMON, MAX_SET = 0.001, 4_000, 8
+
+
+def _compared(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(id, met, best) over all pairs within the band, which are counted where they meet and never shuffled."""
+    j = band_join(left.select(F.struct("id", "met", "words").alias("id"), "fv", "block"), right.select(F.struct("ord", "row", "words").alias("row"), "value", "block"), by="block")
+    common = F.size(F.array_intersect("id.words", "row.words"))
+    return j.groupBy("id.id", "id.met").agg(F.min(F.struct((-common).alias("c"), "row.ord", "row.row")).alias("best"))
+
+
+def _sets(c: str) -> Column:
+    """All subsets of an array of words without spaces, as texts, with their sizes."""
+    grown = F.aggregate(
+        c, F.array(F.struct(F.lit(0).alias("c"), F.lit("").alias("set"))),
+        lambda acc, w: F.concat(acc, F.transform(acc, lambda x: F.struct((x["c"] - 1).alias("c"), F.concat(x["set"], F.lit(" "), w).alias("set")))),
+    )
+    return F.inline(grown)
+
+
 def best_in_band(left: DataFrame, right: DataFrame) -> DataFrame:
     """(id, row): of the rows within the band of a value the only one, else that with most words in common, else the first.
 
     ``left`` has (id, block, fv, words), ``right`` (row, block, value, words, ord); values are whole, and only
     rows of one block meet. Without words and with several rows there is no pick.
+
+    Many rows of a block may have one small value, so pairs are not listed where a row meets many: how many it
+    meets is summed over distinct values; rows that share a rare word meet on it; of the others, the words in common
+    are common ones, and the most of them is the largest subset that a row within the band has, too.
     """
-    met = band_join(left.select("id", "fv", "block"), right.select("row", "value", "block"), by="block")
-    j = met.join(left.select("id", F.col("words").alias("a")), "id").join(right.select("row", F.col("words").alias("b"), "ord"), "row")
-    common = F.size(F.array_intersect(F.coalesce("a", F.array().cast("array<string>")), F.coalesce("b", F.array().cast("array<string>"))))
-    # the most words, then the first in order: the least of (-common, ord)
-    g = j.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct((-common).alias("c"), "ord", "row")).alias("m"), F.max(F.size(F.coalesce("a", F.array().cast("array<string>")))).alias("k"))
-    return g.where((F.col("n") == 1) | (F.col("k") > 0)).select("id", "m.row", F.col("n").alias("met"))
+    none = F.array().cast("array<string>")
+    words = F.array_sort(F.array_distinct(F.coalesce("words", none))).alias("words")
+    r = stored(right.where("value is not null and block is not null").select("row", "ord", "block", "value", words))
+    total = r.count()
+    per = r.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > max(20, int(total * COMMON_SHARE)))
+    common = [x.w for x in per.orderBy(F.desc("n"), "w").limit(MAX_COMMON).collect()]
+    is_common = lambda w: w.isin(*common) if common else F.lit(False)
+    split = [F.filter("words", is_common).alias("common"), F.filter("words", lambda w: ~is_common(w)).alias("rare")]
+    # how many rows a value meets
+    near = band_join(left.select(F.col("block").alias("id"), "block", "fv").distinct(), r.groupBy("block", "value").agg(F.count("*").alias("row")), by="block")
+    near = stored(near.select(F.col("id").alias("block"), "fv", "value", F.col("row").alias("n")))
+    met = near.groupBy("block", "fv").agg(F.sum("n").alias("met"))
+    x = left.join(met, ["block", "fv"]).where((F.col("met") == 1) | (F.size(F.coalesce("words", none)) > 0))
+    x = stored(x.select("id", "met", "block", "fv", words).select("*", *split))
+    r = r.select("*", *split)
+    few = (F.col("met") <= FEW_MET) | (F.size("common") > MAX_SET)
+    best = _compared(x.where(few), r)
+    many, long = x.where(~few), r.where(F.size("common") > MAX_SET)
+    if not long.isEmpty():
+        best = best.unionByName(_compared(many, long))
+    r = r.where(F.size("common") <= MAX_SET)
+    # rows that share a rare word; ids meet by all of their words
+    one = many.select("id", "met", "block", "fv", F.col("words").alias("a"), F.explode("rare").alias("w"))
+    two = r.select("row", "ord", "block", "value", F.col("words").alias("b"), F.explode("rare").alias("w"))
+    j = one.join(two, ["block", "w"]).where(F.abs(F.col("value") - F.col("fv")) <= F.greatest(F.lit(5), F.floor(F.abs("fv") * 0.01)))
+    shared = -F.size(F.array_intersect("a", "b"))
+    best = best.unionByName(j.groupBy("id", "met").agg(F.min(F.struct(shared.alias("c"), "ord", "row")).alias("best")))
+    # common words: the largest set that a row of the band has, too, and of those rows the first
+    first = F.min(F.struct("ord", "row")).alias("first")
+    reach = near.join(many.select("block", "fv").distinct(), ["block", "fv"]).select("block", "fv", "value")
+    sets = r.groupBy("block", "value", "common").agg(first).select("block", "value", "first", _sets("common"))
+    sets = sets.groupBy("block", "value", "set").agg(F.min("first").alias("first"))
+    sets = reach.join(sets, ["block", "value"]).groupBy("block", "fv", "set").agg(F.min("first").alias("first"))
+    asked = many.select("block", "fv", "common").distinct()
+    told = asked.select("block", "fv", "common", _sets("common")).join(sets, ["block", "fv", "set"])
+    told = told.groupBy("block", "fv", "common").agg(F.min(F.struct("c", "first.ord", "first.row")).alias("best"))
+    best = best.unionByName(many.join(told, ["block", "fv", "common"]).select("id", "met", "best"))
+    return best.groupBy("id").agg(F.min("best").alias("m"), F.max("met").alias("met")).select("id", "m.row", "met")
 
 
 def overlay(rows: DataFrame, match: DataFrame, extra: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +81,40 @@ def test_numbered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     assert [r.place for r in sv.numbered(df, F.asc("v")).orderBy("v").collect()] == list(range(1, 1001))
     assert sv.numbered(df.limit(0), F.asc("v")).count() == 0
+
+
+@pytest.mark.parametrize(("few", "share", "longest"), [(64, 0.001, 8), (0, 0.001, 8), (0, 0.5, 8), (0, 0.0, 2), (3, 0.02, 3)])
+def test_pick_among_many(spark, monkeypatch, few, share, longest):
+    for c, v in (("FEW_MET", few), ("COMMON_SHARE", share), ("MAX_SET", longest)):
+        monkeypatch.setattr(sv, c, v)
+    rnd = random.Random(5)
+    vocabulary = [f"word{i}" for i in range(30)]
+    name = lambda: None if rnd.random() < 0.05 else [rnd.choice(vocabulary[: rnd.choice([3, 30])]) for _ in range(rnd.randrange(5))]
+    value = lambda: rnd.choice([0, 0, 1, 3, -4, 7, 480, 505, 1000, 1009, -2000])
+    left = [(i, rnd.choice("ab"), value(), name()) for i in range(150)]
+    right = [(1000 + i, rnd.choice("ab"), value(), name(), 1000 + (i * 37) % 150) for i in range(150)]
+    want = {}
+    for i, block, fv, words in left:
+        met = [(-len(set(words or ()) & set(b or ())), o, row) for row, k, v, b, o in right if k == block and abs(v - fv) <= max(5, abs(fv) // 100)]
+        if len(met) == 1 or met and words:
+            want[i] = (min(met)[2], len(met))
+    x = spark.createDataFrame(left, "id int, block string, fv bigint, words array<string>")
+    y = spark.createDataFrame(right, "row int, block string, value bigint, words array<string>, ord int")
+    got = sv.best_in_band(x, y)
+    assert {r.id: (r.row, r.met) for r in got.collect()} == want
+
+
+@pytest.fixture
+def crowd(spark, monkeypatch):
+    """4,000 x 4,000 rows of one value and no common name, and the pairs that are listed for them."""
+    x = spark.range(4000).select("id", F.lit("a").alias("block"), F.lit(0).cast("bigint").alias("fv"), F.array(F.concat(F.lit("left"), F.col("id"))).alias("words"))
+    y = spark.range(4000).select(F.col("id").alias("row"), F.lit("a").alias("block"), (F.col("id") % 5).alias("value"), F.array(F.concat(F.lit("right"), F.col("id"))).alias("words"), F.col("id").alias("ord"))
+    listed, join = [], sv.band_join
+    monkeypatch.setattr(sv, "band_join", lambda *a, **k: listed.append(join(*a, **k)) or listed[-1])
+    return x, y, listed
+
+
+def test_many_meetings_are_not_listed(crowd):
+    x, y, listed = crowd
+    assert {tuple(r) for r in sv.best_in_band(x, y).select("row", "met").distinct().collect()} == {(0, 4000)}
+    assert sum(d.count() for d in listed) < 10_000
