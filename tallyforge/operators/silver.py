@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from tallyforge.functions.finance import half_up
 from tallyforge.functions.rules import Rules, first_rule
 from tallyforge.operators.portfolio import band_join, largest_gap
-from tallyforge.session import stored
+from tallyforge.session import broadcast_within, stored
 
 # Identifiers that are totals and cash, not holdings.
 TOTAL_LABELS = (
@@ -193,13 +193,37 @@ FEW_MET = 64
 #: A word that more than this share of the rows has is common, the most frequent ``MAX_COMMON`` at most; so many
 #: common words of a name are matched as sets, a longer name is compared with each row it meets.
 COMMON_SHARE, MAX_COMMON, MAX_SET = 0.001, 4_000, 8
+#: So many distinct values of blocks at most are broadcast, to leave out rows that meet none before they are moved.
+MAX_VALUES = 500_000
 
 
-def _compared(left: DataFrame, right: DataFrame) -> DataFrame:
+def _within() -> Column:
+    return F.greatest(F.lit(5), F.floor(F.abs("fv") * 0.01))
+
+
+def _span(v: Column) -> Column:
+    """A whole number that never falls as ``v`` grows: spans of 44 around 0, of a fifth of the value where it is large."""
+    return (F.signum(v) * F.floor(F.log1p(F.abs(v) / 200) * 5)).cast("int")
+
+
+def _wide_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All pairs within the band that are equal in ``keys``, with the columns of both.
+
+    Spans are much wider than the band, so that most rows of ``left`` are moved once; for a ``right`` of few rows a span.
+    """
+    probes = F.explode(F.sequence(_span(F.col("fv") - _within()), _span(F.col("fv") + _within()))).alias("_span")
+    j = left.select("*", probes).join(right.withColumn("_span", _span(F.col("value"))), [*keys, "_span"])
+    return j.where(F.abs(F.col("value") - F.col("fv")) <= _within()).drop("_span")
+
+
+def _compared(left: DataFrame, right: DataFrame, few: bool = False) -> DataFrame:
     """(id, met, best) over all pairs within the band, which are counted where they meet and never shuffled."""
-    j = band_join(left.select(F.struct("id", "met", "words").alias("id"), "fv", "block"), right.select(F.struct("ord", "row", "words").alias("row"), "value", "block"), by="block")
+    one, two = left.select(F.struct("id", "met", "words").alias("id"), "fv", "block"), right.select(F.struct("ord", "row", "words").alias("row"), "value", "block")
+    j = _wide_join(one, two, ["block"]) if few else band_join(one, two, by="block")
     common = F.size(F.array_intersect("id.words", "row.words"))
-    return j.groupBy("id.id", "id.met").agg(F.min(F.struct((-common).alias("c"), "row.ord", "row.row")).alias("best"))
+    # words are counted before pairs are sorted by id, which would spill them
+    j = j.select("id.id", "id.met", F.struct((-common).alias("c"), "row.ord", "row.row").alias("best"))
+    return j.groupBy("id", "met").agg(F.min("best").alias("best"))
 
 
 def _sets(c: str) -> Column:
@@ -219,43 +243,44 @@ def best_in_band(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Many rows of a block may have one small value, so pairs are not listed where a row meets many: how many it
     meets is summed over distinct values; rows that share a rare word meet on it; of the others, the words in common
-    are common ones, and the most of them is the largest subset that a row within the band has, too.
+    are common ones, and the most of them is the largest subset that a row within the band has, too. Rows that meet
+    none, or only few or only many, are left out of what they have no part in before their words are moved.
     """
     none = F.array().cast("array<string>")
     words = F.array_sort(F.array_distinct(F.coalesce("words", none))).alias("words")
-    r = stored(right.where("value is not null and block is not null").select("row", "ord", "block", "value", words))
+    r = right.where("value is not null and block is not null")
+    # how many rows a value meets, and at least and at most those that meet it
+    near = band_join(left.select(F.col("block").alias("id"), "block", "fv").distinct(), r.groupBy("block", "value").agg(F.count("*").alias("row")), by="block")
+    near = stored(near.select(F.col("id").alias("block"), "fv", "value", F.col("row").alias("n")))
+    met = broadcast_within(stored(near.groupBy("block", "fv").agg(F.sum("n").alias("met"))), MAX_VALUES)
+    reach = stored(near.join(met, ["block", "fv"]).groupBy("block", "value").agg(F.min("met").alias("least"), F.max("met").alias("most")))
+    x = left.join(met, ["block", "fv"]).where((F.col("met") == 1) | (F.size(F.coalesce("words", none)) > 0))
+    x = stored(x.select("id", "met", "block", "fv", words))
+    r = stored(r.join(broadcast_within(reach, MAX_VALUES), ["block", "value"]).select("row", "ord", "block", "value", words, "least", "most"))
     total = r.count()
     per = r.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") > max(20, int(total * COMMON_SHARE)))
     common = [x.w for x in per.orderBy(F.desc("n"), "w").limit(MAX_COMMON).collect()]
     is_common = lambda w: w.isin(*common) if common else F.lit(False)
     split = [F.filter("words", is_common).alias("common"), F.filter("words", lambda w: ~is_common(w)).alias("rare")]
-    # how many rows a value meets
-    near = band_join(left.select(F.col("block").alias("id"), "block", "fv").distinct(), r.groupBy("block", "value").agg(F.count("*").alias("row")), by="block")
-    near = stored(near.select(F.col("id").alias("block"), "fv", "value", F.col("row").alias("n")))
-    met = near.groupBy("block", "fv").agg(F.sum("n").alias("met"))
-    x = left.join(met, ["block", "fv"]).where((F.col("met") == 1) | (F.size(F.coalesce("words", none)) > 0))
-    x = stored(x.select("id", "met", "block", "fv", words).select("*", *split))
-    r = r.select("*", *split)
-    few = (F.col("met") <= FEW_MET) | (F.size("common") > MAX_SET)
-    best = _compared(x.where(few), r)
-    many, long = x.where(~few), r.where(F.size("common") > MAX_SET)
-    if not long.isEmpty():
-        best = best.unionByName(_compared(many, long))
-    r = r.where(F.size("common") <= MAX_SET)
+    is_few, is_long = F.col("met") <= FEW_MET, F.size("common") > MAX_SET
+    best = _compared(x.where(is_few), r.where(F.col("least") <= FEW_MET), few=True)
+    many, r = x.where(~is_few).select("*", *split), r.where(F.col("most") > FEW_MET).select("*", *split)
+    for one, two in ((many.where(is_long), r), (many.where(~is_long), r.where(is_long))):
+        if not one.isEmpty() and not two.isEmpty():
+            best = best.unionByName(_compared(one, two))
+    many, r = many.where(~is_long), r.where(~is_long)
     # rows that share a rare word; ids meet by all of their words
     one = many.select("id", "met", "block", "fv", F.col("words").alias("a"), F.explode("rare").alias("w"))
     two = r.select("row", "ord", "block", "value", F.col("words").alias("b"), F.explode("rare").alias("w"))
-    j = one.join(two, ["block", "w"]).where(F.abs(F.col("value") - F.col("fv")) <= F.greatest(F.lit(5), F.floor(F.abs("fv") * 0.01)))
-    shared = -F.size(F.array_intersect("a", "b"))
-    best = best.unionByName(j.groupBy("id", "met").agg(F.min(F.struct(shared.alias("c"), "ord", "row")).alias("best")))
+    j = one.join(two, ["block", "w"]).where(F.abs(F.col("value") - F.col("fv")) <= _within())
+    j = j.select("id", "met", F.struct((-F.size(F.array_intersect("a", "b"))).alias("c"), "ord", "row").alias("best"))
+    best = best.unionByName(j.groupBy("id", "met").agg(F.min("best").alias("best")))
     # common words: the largest set that a row of the band has, too, and of those rows the first
     first = F.min(F.struct("ord", "row")).alias("first")
-    reach = near.join(many.select("block", "fv").distinct(), ["block", "fv"]).select("block", "fv", "value")
     sets = r.groupBy("block", "value", "common").agg(first).select("block", "value", "first", _sets("common"))
     sets = sets.groupBy("block", "value", "set").agg(F.min("first").alias("first"))
-    sets = reach.join(sets, ["block", "value"]).groupBy("block", "fv", "set").agg(F.min("first").alias("first"))
     asked = many.select("block", "fv", "common").distinct()
-    told = asked.select("block", "fv", "common", _sets("common")).join(sets, ["block", "fv", "set"])
+    told = _wide_join(asked.select("block", "fv", "common", _sets("common")), sets, ["block", "set"])
     told = told.groupBy("block", "fv", "common").agg(F.min(F.struct("c", "first.ord", "first.row")).alias("best"))
     best = best.unionByName(many.join(told, ["block", "fv", "common"]).select("id", "met", "best"))
     return best.groupBy("id").agg(F.min("best").alias("m"), F.max("met").alias("met")).select("id", "m.row", "met")

@@ -125,3 +125,32 @@ def test_overlay_of_many_meetings(crowd):
     own, extra = x.select("id", F.lit("own").alias("sector")), y.select("row", F.col("row").cast("string").alias("sector"))
     assert sv.overlay(own, sv.best_in_band(x, y), extra, ["sector"]).where("sector = '0'").count() == 4000
     assert sum(d.count() for d in listed) < 10_000
+
+
+def test_rows_that_meet_none_are_not_moved(crowd, monkeypatch):
+    x, y, _ = crowd
+    kept, store = [], sv.stored
+    monkeypatch.setattr(sv, "stored", lambda d: kept.append(store(d)) or kept[-1])
+    far = y.withColumns({"row": F.col("row") + 4000, "ord": F.col("ord") + 4000, "value": F.col("value") + 1_000_000})
+    own, extra = x.select("id", F.lit("own").alias("sector")), y.select("row", F.col("row").cast("string").alias("sector"))
+    assert sv.overlay(own, sv.best_in_band(x, y.unionByName(far)), extra, ["sector"]).where("sector = '0'").count() == 4000
+    assert [d.where("row >= 4000").count() for d in kept if "row" in d.columns] == [0]
+
+
+def test_picks_beyond_the_bound_of_broadcasts(spark, monkeypatch):
+    rnd = random.Random(7)
+    name = lambda: [f"word{rnd.randrange(9)}" for _ in range(rnd.randrange(4))]
+    value = lambda: rnd.choice([0, 2, 6, -6, 499, 500, 505, 990, 1000, 10**9, -(10**9), 10**9 + 10**7, rnd.randrange(-600, 600)])
+    x = spark.createDataFrame([(i, "a", value(), name()) for i in range(300)], "id int, block string, fv bigint, words array<string>")
+    y = spark.createDataFrame([(i, "a", value(), name(), i) for i in range(300)], "row int, block string, value bigint, words array<string>, ord int")
+    want = sorted(map(tuple, sv.best_in_band(x, y).collect()))
+    monkeypatch.setattr(sv, "MAX_VALUES", 0)
+    assert want and sorted(map(tuple, sv.best_in_band(x, y).collect())) == want
+
+
+def test_wide_join_meets_each_pair_once(spark):
+    values = [s * v for s in (1, -1) for v in (*range(0, 60), *range(430, 620, 3), *range(4_000, 5_000, 7), 10**9, 10**9 - 10**7, 10**9 + 10**7, 10**12)]
+    x = spark.createDataFrame([("a", v) for v in values], "block string, fv bigint")
+    y = spark.createDataFrame([("a", v) for v in values], "block string, value bigint")
+    got = [(r.fv, r.value) for r in sv._wide_join(x, y, ["block"]).collect()]
+    assert sorted(got) == sorted((a, b) for a in values for b in values if abs(b - a) <= max(5, abs(a) // 100))
