@@ -82,3 +82,14 @@ def test_columns_keep_rows_and_clashing_names(spark):
     got = {r.id: (r.a_at, r.b_at, r.val) for r in with_moments(df, ["a", "b"], "day_first", "home_zone").collect()}
     assert got[1][0].val == "2027-03-05" and got[1][1] is None and got[1][2] == "x"
     assert got[2][0] is None and (got[2][1].status, got[2][1].val) == ("moment", None)
+
+
+def test_rows_are_settled_where_they_are_read(spark):
+    # by the parser: no row meets a table of zones, nor is one gathered from the texts before
+    texts = ["2027-11-07 01:30:00", "2027-03-14 02:30:00", "2027-07-01 12:00:00", "2027-07-01 12:00:00 No/Where", "2027-07-01 12:00:00 Europe/London", "2027-07-01 12:00:00 EST"]
+    df = spark.createDataFrame([(i, t, False, "America/New_York") for i, t in enumerate(texts)], "id int, a string, day_first boolean, home_zone string")
+    m = with_moments(df, ["a"], "day_first", "home_zone")
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "MapInPandas" not in plan and plan.count("ArrowEvalPython") == 1
+    got = [(r.a_at.status, r.a_at.val) for r in m.orderBy("id").collect()]
+    assert got == [("ambiguous", None), ("nonexistent", None), ("moment", "2027-07-01T16:00:00Z"), ("nonexistent", None), ("moment", "2027-07-01T11:00:00Z"), ("moment", "2027-07-01T17:00:00Z")]
